@@ -41,7 +41,7 @@ def assemble_document(text: Column) -> Column:
 
 def split_sentences(text: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(SENTENCE_PATTERN), 0)
-    return F.filter(F.transform(found, F.trim), lambda s: s != "")
+    return F.filter(F.transform(found, lambda s: F.trim(s)), lambda s: s != "")
 
 
 def split_words(text: Column, keep_punct: bool = False) -> Column:

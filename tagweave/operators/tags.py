@@ -13,7 +13,7 @@ from tagweave.sources.tables import materialize
 
 def parse_tags(tags: Column) -> Column:
     """Distinct, trimmed, non-empty tags of a comma-joined string."""
-    parts = F.transform(F.split(F.coalesce(tags, F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(tags, F.lit("")), ","), lambda t: F.trim(t))
     return F.array_distinct(F.filter(parts, lambda t: t != ""))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.operators import dictionary, features, samples, split, tags
-from tagweave.operators.text import hash_fields, tokenize
+from tagweave.operators.text import count_items, hash_fields, tokenize
 from tagweave.options import IDF_ALGORITHM, Options
 from tagweave.sources import posts as readers
 from tagweave.sources import sinks
@@ -26,18 +26,25 @@ class Prepared:
         return sinks.run_report(self.lookups)
 
 
-def token_statistics(tokens: DataFrame, opts: Options) -> DataFrame:
+def token_statistics(tokens: DataFrame, tag_rows: DataFrame, opts: Options) -> DataFrame:
     """Every term once, with the counts the dictionary and the vocabulary need.
 
-    One pass over the text and one shuffle of pre-combined counts serve both.
-    A term with a blank is an n-gram; those do not enter the dictionary.
+    One pass over the text serves both. Terms are counted inside each post, so
+    its distinct terms, not its tokens, meet the tag table; from there on only
+    partially aggregated counts move. The dictionary learns from training posts
+    that have a tag row, the vocabulary from all posts or from those same ones.
+    A term with a blank is an n-gram and has no place in the dictionary.
     """
     merged = features.merge_fields(features.merge_ngrams(tokens))
-    counts = features.item_counts(merged, "titleBody", ["set"])
-    training = F.col("set") == split.TRAINING
-    fitted = F.lit(True) if opts.fit_on == "all" else training
-    statistics = counts.groupBy("term").agg(
-        F.coalesce(F.sum(F.when(training, F.col("n"))), F.lit(0)).alias("tokenCount"),
+    counted = count_items(merged.select("uniqueID", "set", "titleBody"), "titleBody").drop("titleBody")
+    tagged = tag_rows.select("uniqueID").distinct().withColumn("_tagged", F.lit(True))
+    learned = (F.col("set") == split.TRAINING) & F.coalesce("_tagged", F.lit(False))
+    terms = counted.join(tagged, "uniqueID", "left").select(
+        learned.alias("learned"), F.inline(F.arrays_zip("_item", "_times")).alias("term", "n")
+    )
+    fitted = F.lit(True) if opts.fit_on == "all" else F.col("learned")
+    statistics = terms.groupBy("term").agg(
+        F.coalesce(F.sum(F.when(F.col("learned"), F.col("n"))), F.lit(0)).alias("tokenCount"),
         F.coalesce(F.sum(F.when(fitted, F.col("n"))), F.lit(0)).alias("tf"),
         F.count_if(fitted).alias("df"),
     )
@@ -50,12 +57,11 @@ def learn_lookups(tokens: DataFrame, tag_rows: DataFrame, opts: Options) -> dict
     domain_tags = materialize(tags.rank_tags_in_domains(counts), "domain-tags")
     if opts.fraction_of_tags < 1:
         domain_tags = materialize(tags.most_used_fraction(domain_tags, opts.fraction_of_tags), "domain-tags")
-    global_tags = materialize(tags.rank_tags_globally(domain_tags), "global-tags")
-    statistics = token_statistics(tokens, opts)
+    statistics = token_statistics(tokens, tag_rows, opts)
     unigrams = statistics.where(~F.col("term").contains(" ")).withColumnRenamed("term", "token")
     return {
         "domain_tags": domain_tags,
-        "global_tags": global_tags,
+        "global_tags": materialize(tags.rank_tags_globally(counts), "global-tags"),
         "dictionary": materialize(dictionary.index_tokens(unigrams, opts), "dictionary"),
         "vocabulary": materialize(features.top_terms(statistics, opts), "vocabulary"),
     }
@@ -71,20 +77,20 @@ def prepare(text: DataFrame, tag_rows: DataFrame, opts: Options, with_bags: bool
     text = split.assign_sets(text, opts)
     tag_rows = split.assign_sets(tag_rows, opts)
     tokens = tokenize(text, opts)
-    tagged = split.with_tag_row(tokens, tag_rows)
-    lookups = learn_lookups(tokens if opts.fit_on == "all" else tagged, tag_rows, opts)
+    lookups = learn_lookups(tokens, tag_rows, opts)
 
+    sets = text.select("uniqueID", "domain", "set")
+    tagged_sets = split.with_tag_row(sets, tag_rows)
     rows = tokens
     if with_bags:
-        fitted = tokens if opts.fit_on == "all" else split.training_rows(tagged)
+        fitted = sets if opts.fit_on == "all" else split.training_rows(tagged_sets)
         number = fitted.count() if opts.algorithm == IDF_ALGORITHM else 0
         rows = features.add_bags(rows, lookups["vocabulary"], opts, number)
     hashed = hash_fields(rows, opts)
     encoded = tags.encode_tags(tag_rows, lookups["global_tags"], lookups["domain_tags"], keep_untagged=True)
     joined = samples.assemble_samples(hashed, encoded, how="inner")
 
-    sets = split.with_tag_row(text.select("uniqueID", "domain", "set"), tag_rows)
-    lookups["shard_counts"] = samples.shard_counts(sets)
+    lookups["shard_counts"] = samples.shard_counts(tagged_sets)
     sharded = samples.shard_by_hash(joined, lookups["shard_counts"], opts.rows_per_shard)
     return Prepared(sharded, lookups)
 

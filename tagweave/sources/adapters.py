@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.options import UNDEFINED_DOMAIN
+from tagweave.sources.tables import spread
 
 
 def post_text(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as posts: the first line is the title, the language the domain."""
     text = F.col("text")
     end = F.locate("\n", text)
-    return spark.read.parquet(f"{folder}/documents.parquet").select(
-        F.col("doc_id").alias("uniqueID"),
+    documents = spark.read.parquet(f"{folder}/documents.parquet").select(
+        F.col("doc_id").alias("uniqueID"), "text", "lang"
+    )
+    return spread(documents, "uniqueID").select(
+        "uniqueID",
         F.when(end > 0, F.substring(text, F.lit(1), end - 1)).otherwise(text).alias("title"),
         F.when(end > 0, F.substring(text, end + 1, F.length(text))).otherwise("").alias("body"),
         F.col("lang").alias("domain"),

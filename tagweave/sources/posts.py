@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagweave.functions.text import strip_carriage_return, strip_math
+from tagweave.sources.tables import spread
 
 TEXT_SCHEMA = T.StructType(
     [
@@ -51,11 +52,13 @@ def clean_tags(tags: DataFrame) -> DataFrame:
 
 def read_post_text(spark: SparkSession, folder: str, dotall: bool = False) -> DataFrame:
     """Posts of ``postText*.csv``: headerless, ``|``-separated, quotes may span lines."""
-    return clean_text(_read_csv(spark, f"{folder}/{TEXT_FILES}", TEXT_SCHEMA), dotall)
+    raw = _read_csv(spark, f"{folder}/{TEXT_FILES}", TEXT_SCHEMA)
+    return clean_text(spread(raw, "uniqueID"), dotall)
 
 
 def read_post_tags(spark: SparkSession, folder: str) -> DataFrame:
-    return clean_tags(_read_csv(spark, f"{folder}/{TAG_FILES}", TAG_SCHEMA))
+    raw = _read_csv(spark, f"{folder}/{TAG_FILES}", TAG_SCHEMA)
+    return clean_tags(spread(raw, "uniqueID"))
 
 
 def distinct_domains(posts: DataFrame) -> DataFrame:

@@ -34,3 +34,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tagweave/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core work when the input comes in few splits.
+
+    A file without row groups, or a CSV file with quoted line breaks, is read
+    by one task. Large inputs have more splits than the cluster has cores and
+    are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
