@@ -59,14 +59,12 @@ def signed_items(samples: DataFrame, opts: Options) -> DataFrame:
 
 
 def fit_rules(baskets: DataFrame, opts: Options, items: str = "items") -> FPGrowthModel:
-    """FP-growth on the training baskets with a support given as a number of posts."""
+    """FP-growth on the training baskets; support as a number or a share of posts."""
     training = training_rows(baskets).select(items)
-    posts = training.count()
-    return FPGrowth(
-        itemsCol=items,
-        minSupport=min(1.0, opts.support_count / posts) if posts else 1.0,
-        minConfidence=opts.min_confidence,
-    ).fit(training)
+    support = opts.min_support
+    if support is None:
+        support = min(1.0, opts.support_count / max(training.count(), 1))
+    return FPGrowth(itemsCol=items, minSupport=support, minConfidence=opts.min_confidence).fit(training)
 
 
 def label_rules(rules: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ class Options:
 
     ``lower_case`` acts inside the normaliser, so it has no effect unless
     ``normalize`` is set. ``fit_on`` decides whether the bag vocabulary and the
-    IDF weights come from every post or from the training posts only.
+    IDF weights come from every post or from the training posts only. Rules need
+    ``support_count`` training posts, or the share ``min_support`` if that is set.
     """
 
     training_share: float = 0.6
@@ -42,6 +43,7 @@ class Options:
     label_cap: int = 100
     min_confidence: float = 0.7
     support_count: int = 20
+    min_support: float | None = None
 
     def __post_init__(self) -> None:
         def check(ok: bool, message: str) -> None:
@@ -62,6 +64,7 @@ class Options:
         check(self.hash_method in ("xxhash64", "murmur3_128"), "hash_method: xxhash64 or murmur3_128")
         check(self.label_cap > 0 and self.support_count > 0, "caps and supports must be positive")
         check(0 < self.min_confidence <= 1, "min_confidence must lie in (0, 1]")
+        check(self.min_support is None or 0 < self.min_support <= 1, "min_support must lie in (0, 1]")
 
     @property
     def test_bound(self) -> float:

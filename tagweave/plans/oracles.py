@@ -424,7 +424,8 @@ UNION ALL SELECT 'bag_vocabulary', '', count(*) FROM c_vocabulary"""
 
 def _minimum(baskets: str, opts: Options) -> str:
     posts = f"(SELECT count(*) FROM {baskets} WHERE \"set\" = '{TRAINING}')"
-    return f"ceil(({opts.support_count}::DOUBLE / {posts}) * {posts})"
+    share = f"{opts.support_count}::DOUBLE / {posts}" if opts.min_support is None else f"{opts.min_support}::DOUBLE"
+    return f"ceil(({share}) * {posts})"
 
 
 STEPS["c_tag_basket"] = f"""

@@ -29,7 +29,7 @@ NORMAL = Options(normalize=True, lower_case=True)
 STEMMED = replace(NORMAL, stem=True)
 # Settings of the mining queries; also read by their SQL counterparts.
 TAG_RULES = Options(support_count=20, min_confidence=0.2)
-TEXT_RULES = Options(support_count=30, min_confidence=0.15, vocab_size=60)
+TEXT_RULES = Options(min_support=0.017, min_confidence=0.15, vocab_size=60)
 TAG_FRACTION = 0.5
 LABEL_CAP = 5
 NGRAM = 2
