@@ -8,17 +8,15 @@ from pyspark.sql import functions as F
 from tagweave.functions.hashing import hash_tokens
 from tagweave.operators.lookup import heavy_by_rank, lookup
 from tagweave.operators.ordering import ordered_index
-from tagweave.operators.text import FIELDS
+from tagweave.operators.rows import explode_rows
+from tagweave.operators.text import item_counts, merge_fields
 from tagweave.options import Options
 
 
 def count_tokens(tokens: DataFrame) -> DataFrame:
     """Occurrences of each token over title and body."""
-    return (
-        tokens.select(F.explode(F.concat(*FIELDS)).alias("token"))
-        .groupBy("token")
-        .agg(F.count("*").alias("tokenCount"))
-    )
+    counts = item_counts(merge_fields(tokens), "titleBody", [], "token")
+    return counts.groupBy("token").agg(F.sum("n").alias("tokenCount"))
 
 
 def index_tokens(counts: DataFrame, opts: Options) -> DataFrame:
@@ -45,8 +43,7 @@ def decode_tokens(
     Unknown hashes vanish, and with them rows that have no known hash; with a
     placeholder in ``missing`` every position and every row stays.
     """
-    explode = F.posexplode if missing is None else F.posexplode_outer
-    places = rows.select("uniqueID", explode(array).alias("pos", "hash"))
+    places = explode_rows(rows, ["uniqueID"], array, "hash", "pos", outer=missing is not None)
     found = lookup(places, dictionary, ["hash"], heavy_by_rank("index"), "uniqueID")
     if missing is None:
         found = found.where(F.col("token").isNotNull())
@@ -55,7 +52,7 @@ def decode_tokens(
             "token", F.when(F.col("pos").isNotNull(), F.coalesce("token", F.lit(missing)))
         )
     # One post's tokens: bounded by the row they came from.
-    in_order = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))))
+    in_order = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))))
     return found.groupBy("uniqueID").agg(F.transform(in_order, lambda p: p["token"]).alias(name))
 
 

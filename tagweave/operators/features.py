@@ -86,7 +86,7 @@ def tfidf_long(bag: DataFrame) -> DataFrame:
 
 def decode_bag(bag: DataFrame) -> DataFrame:
     """The words of each post's bag in vocabulary order, joined by commas."""
-    pairs = F.array_sort(F.collect_set(F.struct("rank", "words")))
+    pairs = F.sort_array(F.collect_set(F.struct("rank", "words")))
     return bag.groupBy("uniqueID").agg(F.array_join(F.transform(pairs, lambda p: p["words"]), ",").alias("words"))
 
 

@@ -6,9 +6,11 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.operators.rows import explode_rows
 from tagweave.operators.split import training_rows
 from tagweave.operators.tags import cap_labels
 from tagweave.options import Options
+from tagweave.sources.tables import materialize
 
 # Items are strings, so a label and a token can never be the same item.
 TOKEN, LABEL = "t:", "l:"
@@ -59,8 +61,11 @@ def signed_items(samples: DataFrame, opts: Options) -> DataFrame:
 
 
 def fit_rules(baskets: DataFrame, opts: Options, items: str = "items") -> FPGrowthModel:
-    """FP-growth on the training baskets; support as a number or a share of posts."""
-    training = training_rows(baskets).select(items)
+    """FP-growth on the training baskets; support as a number or a share of posts.
+
+    The fit passes over its input several times, so the baskets are written first.
+    """
+    training = materialize(training_rows(baskets).select(items), "training-baskets")
     support = opts.min_support
     if support is None:
         support = min(1.0, opts.support_count / max(training.count(), 1))
@@ -104,7 +109,7 @@ def predict_by_join(
         .agg(F.min_by("anchor", F.struct("freq", "anchor")).alias("anchor"), F.first("then").alias("then"))
     )
     met = (
-        baskets.select("id", F.col(items).alias("_basket"), F.explode(items).alias("anchor"))
+        explode_rows(baskets.withColumn("_basket", F.col(items)), ["id", "_basket"], items, "anchor")
         .join(filed, "anchor")
         .where(F.size(F.array_except("antecedent", "_basket")) == 0)
         .select("id", F.explode(F.array_except("then", "_basket")).alias("_then"))
@@ -149,7 +154,7 @@ def item_appearances(signed: DataFrame) -> DataFrame:
     """Each item of a set once, with the side of a rule it may appear on."""
     item = F.col("item")
     return (
-        signed.select("set", F.explode("items").alias("item"))
+        explode_rows(signed, ["set"], "items", "item")
         .distinct()
         .select("set", "item", F.when(item < 0, "body").otherwise("head").alias("role"))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagweave.operators.lookup import heavy_by_count, lookup
 from tagweave.operators.ordering import ordered_index
+from tagweave.operators.rows import explode_rows
 from tagweave.options import UNDEFINED_DOMAIN
 from tagweave.sources.tables import materialize
 
@@ -29,7 +30,7 @@ def tag_sets(posts: DataFrame) -> DataFrame:
 
 def explode_tags(posts: DataFrame) -> DataFrame:
     """One row per (post, tag)."""
-    return tag_sets(posts).select("uniqueID", "domain", F.explode("tagSet").alias("tag"))
+    return explode_rows(tag_sets(posts), ["uniqueID", "domain"], "tagSet", "tag")
 
 
 def count_tags(posts: DataFrame) -> DataFrame:
@@ -78,8 +79,8 @@ def encode_tags(
     tags give no row unless ``keep_untagged``. Both rank tables must be written
     tables (:func:`tagweave.sources.tables.materialize`).
     """
-    explode = F.explode_outer if keep_untagged else F.explode
-    exploded = tag_sets(posts).select("uniqueID", "domain", "uniqueTagCount", explode("tagSet").alias("tag"))
+    kept = ["uniqueID", "domain", "uniqueTagCount"]
+    exploded = explode_rows(tag_sets(posts), kept, "tagSet", "tag", outer=keep_untagged)
     with_global = lookup(
         exploded,
         global_tags.select("tag", "tagGlobalRank", "tagGlobalCount"),
@@ -95,8 +96,8 @@ def encode_tags(
         "uniqueID",
     )
     return ranked.groupBy("uniqueID").agg(
-        F.array_sort(F.collect_set("tagGlobalRank")).alias("globalTags"),
-        F.array_sort(F.collect_set("tagRankInDomain")).alias("domainTags"),
+        F.sort_array(F.collect_set("tagGlobalRank")).alias("globalTags"),
+        F.sort_array(F.collect_set("tagRankInDomain")).alias("domainTags"),
         F.max("uniqueTagCount").cast("long").alias("originalTagCount"),
         F.max("domain").alias("domain"),
     )
@@ -113,7 +114,7 @@ def decode_labels(encoded: DataFrame, global_tags: DataFrame, domain_tags: DataF
         F.transform("globalTags", lambda r: F.struct(F.lit("g").alias("kind"), r.alias("rank"))),
         F.transform("domainTags", lambda r: F.struct(F.lit("d").alias("kind"), r.alias("rank"))),
     )
-    long = encoded.select("uniqueID", "domain", F.explode(either).alias("label")).select(
+    long = explode_rows(encoded, ["uniqueID", "domain"], either, "label").select(
         "uniqueID", "label.kind", "label.rank", F.when(F.col("label.kind") == "d", F.col("domain")).otherwise("").alias("domain")
     )
     names = domain_tags.select(
@@ -126,6 +127,6 @@ def decode_labels(encoded: DataFrame, global_tags: DataFrame, domain_tags: DataF
     named = lookup(long, names, ["kind", "rank", "domain"], heavy_by_count(names, "count"), "uniqueID")
 
     def of(kind: str) -> Column:
-        return F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.col("tag"))))
+        return F.sort_array(F.collect_set(F.when(F.col("kind") == kind, F.col("tag"))))
 
     return named.groupBy("uniqueID").agg(of("g").alias("globalNames"), of("d").alias("domainNames"))

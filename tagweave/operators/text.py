@@ -84,7 +84,7 @@ def count_items(rows: DataFrame, array: str) -> DataFrame:
     length is counted in n log n without leaving its partition.
     """
     return (
-        rows.withColumn("_sorted", F.array_sort(array))
+        rows.withColumn("_sorted", F.sort_array(array))
         .withColumn("_starts", fn.run_starts(F.col("_sorted")))
         .withColumn("_item", fn.run_values(F.col("_sorted"), F.col("_starts")))
         .withColumn("_times", fn.run_counts(F.col("_sorted"), F.col("_starts")))

@@ -72,10 +72,11 @@ def prepare(text: DataFrame, tag_rows: DataFrame, opts: Options, with_bags: bool
 
     The text is read twice: once for the statistics, once for the samples. Its
     hashed form is shuffled once, for the join that both drops posts without a
-    tag row and attaches the labels.
+    tag row and attaches the labels. The tag rows, needed by five steps, are
+    parsed and written once.
     """
     text = split.assign_sets(text, opts)
-    tag_rows = split.assign_sets(tag_rows, opts)
+    tag_rows = materialize(split.assign_sets(tag_rows, opts), "tag-rows")
     tokens = tokenize(text, opts)
     lookups = learn_lookups(tokens, tag_rows, opts)
 

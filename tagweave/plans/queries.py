@@ -59,12 +59,21 @@ def _training_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return split.training_rows(_tokens(spark, folder))
 
 
+def _tag_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The tag rows, written: for queries that need them more than once."""
+    return materialize(_tags(spark, folder), "tag-rows")
+
+
+def _counted(tag_rows: DataFrame) -> DataFrame:
+    return tags.count_tags(split.training_rows(tag_rows))
+
+
 def _tag_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return tags.count_tags(split.training_rows(_tags(spark, folder)))
+    return _counted(_tags(spark, folder))
 
 
-def _rank_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    counts = _tag_counts(spark, folder)
+def _rank_tables(tag_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    counts = _counted(tag_rows)
     return (
         materialize(tags.rank_tags_globally(counts), "global-tags"),
         materialize(tags.rank_tags_in_domains(counts), "domain-tags"),
@@ -72,7 +81,8 @@ def _rank_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 
 
 def _encoded(spark: SparkSession, folder: str) -> DataFrame:
-    return tags.encode_tags(_tags(spark, folder), *_rank_tables(spark, folder))
+    tag_rows = _tag_table(spark, folder)
+    return tags.encode_tags(tag_rows, *_rank_tables(tag_rows))
 
 
 def _samples(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,7 +181,8 @@ def ngrams_merged(spark, folder):
 def stems(spark, folder):
     words = F.concat(*[fn.split_normalized_words(fn.assemble_document(F.col(f)), True) for f in tx.FIELDS])
     both = _text(spark, folder).select(words.alias("words")).select("words", stem_tokens("words").alias("stems"))
-    return both.select(F.inline(F.arrays_zip("words", "stems")).alias("token", "stem")).distinct()
+    pairs = both.select(F.inline_outer(F.arrays_zip("words", "stems")).alias("token", "stem"))
+    return pairs.where(F.col("token").isNotNull()).distinct()
 
 
 @query
@@ -184,7 +195,7 @@ def token_hash(spark, folder):
     """Both hashes keep distinct tokens apart."""
     words = F.concat(*tx.FIELDS)
     hashed = _tokens(spark, folder).select(
-        F.inline(
+        F.inline_outer(
             F.arrays_zip(
                 words.alias("token"),
                 hash_tokens(words).alias("xx"),
@@ -307,8 +318,9 @@ def tag_encode(spark, folder):
 
 
 def _decoded_labels(spark, folder):
-    ranks = _rank_tables(spark, folder)
-    return tags.decode_labels(tags.encode_tags(_tags(spark, folder), *ranks), *ranks)
+    tag_rows = _tag_table(spark, folder)
+    ranks = _rank_tables(tag_rows)
+    return tags.decode_labels(tags.encode_tags(tag_rows, *ranks), *ranks)
 
 
 @query
@@ -515,7 +527,7 @@ def partitioned_scan(spark, folder):
 
 @query
 def shards(spark, folder):
-    rows = _tags(spark, folder)
+    rows = _tag_table(spark, folder)
     sharded = samples.shard_by_hash(rows, samples.shard_counts(rows), DEFAULTS.rows_per_shard)
     return sharded.groupBy("domain", "set", "rng").agg(F.count("*").alias("rows"))
 
@@ -558,7 +570,7 @@ def _text_baskets(spark, folder) -> DataFrame:
     known = (
         bag.where(F.col("field") == "title")
         .groupBy("uniqueID")
-        .agg(F.array_sort(F.collect_set("rank")).alias("title"))
+        .agg(F.sort_array(F.collect_set("rank")).alias("title"))
     )
     none = F.array().cast("array<int>")
     text = (
@@ -572,7 +584,7 @@ def _text_baskets(spark, folder) -> DataFrame:
 
 def _as_text(array: str | Column) -> Column:
     column = F.col(array) if isinstance(array, str) else array
-    return F.array_join(F.array_sort(column), ",")
+    return F.array_join(F.sort_array(column), ",")
 
 
 @query

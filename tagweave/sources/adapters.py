@@ -41,9 +41,10 @@ def post_tags(spark: SparkSession, folder: str) -> DataFrame:
     brands = read("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     languages = read("documents").select(F.col("doc_id").alias("uniqueID"), "lang")
     priorities = read("orders").select(F.col("o_orderkey").alias("uniqueID"), "o_orderpriority")
-    pairs = F.array_sort(F.collect_set(F.struct("l_returnflag", "p_brand")))
+    pairs = F.sort_array(F.collect_set(F.struct("l_returnflag", "p_brand")))
     return (
-        lines.join(brands, "l_partkey")
+        spread(lines, "uniqueID")
+        .join(brands, "l_partkey")
         .groupBy("uniqueID")
         .agg(F.array_join(F.transform(pairs, lambda p: p["p_brand"]), ",").alias("tags"))
         .join(languages, "uniqueID", "left")
