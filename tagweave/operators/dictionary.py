@@ -41,9 +41,13 @@ def decode_tokens(
     """Hashes of an array column back to tokens, in their original order.
 
     Unknown hashes vanish, and with them rows that have no known hash; with a
-    placeholder in ``missing`` every position and every row stays.
+    placeholder in ``missing`` every position and every row stays. Rows that
+    agree in id and tokens give one row.
     """
-    places = explode_rows(rows, ["uniqueID"], array, "hash", "pos", outer=missing is not None)
+    # Copies of a post collapse before they are collected, so that one group is
+    # never more than the tokens of one row.
+    own = rows.select("uniqueID", array, F.xxhash64(array).alias("_copy"))
+    places = explode_rows(own, ["uniqueID", "_copy"], array, "hash", "pos", outer=missing is not None)
     found = lookup(places, dictionary, ["hash"], heavy_by_rank("index"), "uniqueID")
     if missing is None:
         found = found.where(F.col("token").isNotNull())
@@ -51,9 +55,9 @@ def decode_tokens(
         found = found.withColumn(
             "token", F.when(F.col("pos").isNotNull(), F.coalesce("token", F.lit(missing)))
         )
-    # One post's tokens: bounded by the row they came from.
-    in_order = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))))
-    return found.groupBy("uniqueID").agg(F.transform(in_order, lambda p: p["token"]).alias(name))
+    in_order = F.sort_array(F.collect_set(F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))))
+    tokens = found.groupBy("uniqueID", "_copy").agg(F.transform(in_order, lambda p: p["token"]).alias(name))
+    return tokens.drop("_copy")
 
 
 def join_tokens(decoded: DataFrame, name: str) -> DataFrame:

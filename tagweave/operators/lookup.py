@@ -6,9 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# Most rows of a dimension that are ever broadcast: its most frequent keys.
+# Most rows of a dimension that are ever broadcast, its most frequent keys, and
+# the longest string such a row may hold: together they bound the broadcast.
 HEAVY_KEYS = 50_000
+HEAVY_LENGTH = 256
 # Shuffle lanes over which rows that need no further lookup are spread.
 LANES = 4096
 
@@ -32,12 +35,16 @@ def lookup(facts: DataFrame, dimension: DataFrame, on: Sequence[str], heavy: Col
     """Left join of ``facts`` to a written ``dimension``, skew-free in one pass.
 
     ``heavy`` selects the frequent keys, at most ``HEAVY_KEYS`` of them; these
-    are broadcast. If the dimension has more keys, the rest is joined by
-    shuffle; rows that have their answer already, or have no key, travel in
-    lanes derived from ``spread`` rather than together with their hot key.
+    are broadcast unless they are very long. If the dimension has more keys, the
+    rest is joined by shuffle; rows that have their answer already, or have no
+    key, travel in lanes derived from ``spread`` rather than with their hot key.
     """
     on = list(on)
     values = [c for c in dimension.columns if c not in on]
+    for field in dimension.schema.fields:
+        if isinstance(field.dataType, StringType):
+            heavy = heavy & (F.length(field.name) <= HEAVY_LENGTH)
+    heavy = F.coalesce(heavy, F.lit(False))
     frequent = dimension.where(heavy).withColumn("_hit", F.lit(True))
     first = facts.join(F.broadcast(frequent), on, "left")
     light = dimension.where(~heavy)

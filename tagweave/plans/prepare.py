@@ -33,7 +33,8 @@ def token_statistics(tokens: DataFrame, tag_rows: DataFrame, opts: Options) -> D
     its distinct terms, not its tokens, meet the tag table; from there on only
     partially aggregated counts move. The dictionary learns from training posts
     that have a tag row, the vocabulary from all posts or from those same ones.
-    A term with a blank is an n-gram and has no place in the dictionary.
+    A term with a blank is an n-gram and has no place in the dictionary. Rare
+    terms, which neither table can use, are dropped before the table is written.
     """
     merged = features.merge_fields(features.merge_ngrams(tokens))
     counted = count_items(merged.select("uniqueID", "set", "titleBody"), "titleBody").drop("titleBody")
@@ -48,7 +49,9 @@ def token_statistics(tokens: DataFrame, tag_rows: DataFrame, opts: Options) -> D
         F.coalesce(F.sum(F.when(fitted, F.col("n"))), F.lit(0)).alias("tf"),
         F.count_if(fitted).alias("df"),
     )
-    return materialize(statistics, "token-statistics")
+    for_dictionary = (F.col("tokenCount") > opts.token_usage_threshold) & ~F.col("term").contains(" ")
+    useful = statistics.where(for_dictionary | (F.col("df") >= opts.min_df))
+    return materialize(useful, "token-statistics")
 
 
 def learn_lookups(tokens: DataFrame, tag_rows: DataFrame, opts: Options) -> dict[str, DataFrame]:
@@ -97,8 +100,12 @@ def prepare(text: DataFrame, tag_rows: DataFrame, opts: Options, with_bags: bool
 
 
 def run(spark: SparkSession, source: str, output: str, opts: Options) -> Prepared:
-    """Read the CSV posts of ``source``, prepare them and write everything to ``output``."""
-    text = readers.read_post_text(spark, source, opts.dotall)
+    """Read the CSV posts of ``source``, prepare them and write everything to ``output``.
+
+    CSV with quoted line breaks is parsed by one task per file and cannot be
+    pruned, so it is turned into a columnar table first.
+    """
+    text = materialize(readers.read_post_text(spark, source, opts.dotall), "post-text")
     tag_rows = readers.read_post_tags(spark, source)
     prepared = prepare(text, tag_rows, opts)
     sinks.write_samples(prepared.samples, output, opts)
