@@ -94,30 +94,32 @@ def add_bags(tokens: DataFrame, vocabulary: DataFrame, opts: Options, posts: int
     """Add sparse vectors to each row: ``titleBodyBag``, or ``titleBag`` and ``bodyBag``.
 
     The vocabulary has at most ``vocab_size`` rows, which bounds both what is
-    collected here and what the model broadcasts. The rows do not move.
+    collected here and what the model broadcasts. The rows do not move, and their
+    token arrays stay free of the n-grams that the vectors count.
     """
     if opts.vocab_size > VECTOR_VOCABULARY:
         raise ValueError(f"vectors hold up to {VECTOR_VOCABULARY} terms; use bag_long for more")
     terms = vocabulary.orderBy("rank").select("words", "df").collect()
-    merged = merge_ngrams(tokens)
+    arrays = {f: [c for c in (f, f"{f}NGrams") if c in tokens.columns] for f in FIELDS}
     if opts.combine:
-        columns = {"titleBodyBag": "titleBody"}
-        merged = merge_fields(merged)
+        sources = {"titleBodyBag": [c for f in FIELDS for c in arrays[f]]}
     else:
-        columns = {f"{f}Bag": f for f in FIELDS}
+        sources = {f"{f}Bag": arrays[f] for f in FIELDS}
     if not terms:
         raise ValueError("no term occurs in min_df posts, so there is no vocabulary")
     weights = None
     if opts.algorithm == IDF_ALGORITHM:
         weights = Vectors.dense([math.log((posts + 1) / (t["df"] + 1)) for t in terms])
     words = [t["words"] for t in terms]
-    for bag, source in columns.items():
-        counts = bag if weights is None else f"_{bag}"
-        merged = CountVectorizerModel.from_vocabulary(words, inputCol=source, outputCol=counts).transform(merged)
+    rows = tokens
+    for bag, columns in sources.items():
+        counts = bag if weights is None else "_counts"
+        model = CountVectorizerModel.from_vocabulary(words, inputCol="_terms", outputCol=counts)
+        rows = model.transform(rows.withColumn("_terms", F.concat(*columns))).drop("_terms")
         if weights is not None:
             scale = ElementwiseProduct(scalingVec=weights, inputCol=counts, outputCol=bag)
-            merged = scale.transform(merged).drop(counts)
-    return merged.drop("titleBody")
+            rows = scale.transform(rows).drop(counts)
+    return rows.drop(*[f"{f}NGrams" for f in FIELDS])
 
 
 def bag_table(tokens: DataFrame, vocabulary: DataFrame, opts: Options, posts: int) -> DataFrame:
