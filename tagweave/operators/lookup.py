@@ -53,9 +53,10 @@ def lookup(facts: DataFrame, dimension: DataFrame, on: Sequence[str], heavy: Col
     done = F.coalesce("_hit", F.lit(False))
     for key in on:
         done = done | F.col(key).isNull()
-    lane = F.when(done, F.pmod(F.xxhash64(spread), F.lit(LANES))).otherwise(F.lit(-1))
-    rest = light.select(
-        *on, *[F.col(c).alias(f"_light_{c}") for c in values], F.lit(-1).cast("long").alias("_lane")
-    )
-    joined = first.withColumn("_lane", lane.cast("long")).join(rest, [*on, "_lane"], "left")
+    # The lane is part of the shuffle key. It must be computed from the row on
+    # both sides: a constant would be folded into a filter beside the join.
+    own = F.pmod(F.xxhash64(*on), F.lit(LANES))
+    apart = F.pmod(F.xxhash64(spread), F.lit(LANES)) + LANES
+    rest = light.select(*on, *[F.col(c).alias(f"_light_{c}") for c in values], own.alias("_lane"))
+    joined = first.withColumn("_lane", F.when(done, apart).otherwise(own)).join(rest, [*on, "_lane"], "left")
     return joined.select(*facts.columns, *[F.coalesce(c, f"_light_{c}").alias(c) for c in values])

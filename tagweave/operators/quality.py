@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagweave.operators.rows import explode_rows
+from tagweave.operators.text import FIELDS
+
 
 def row_and_id_counts(posts: DataFrame) -> DataFrame:
     return posts.agg(F.count("*").alias("rows"), F.count_distinct("uniqueID").alias("ids"))
@@ -19,15 +22,9 @@ def lost_ids(samples: DataFrame, posts: DataFrame) -> DataFrame:
 def split_shares(samples: DataFrame) -> DataFrame:
     """Rows and share of each set."""
     counts = samples.groupBy("set").agg(F.count("*").alias("rows"))
-    total = F.sum("rows").over(_everything())
-    return counts.withColumn("share", F.col("rows") / total)
-
-
-def _everything():
-    from pyspark.sql import Window
-
-    # Over the three counted sets, not over the rows.
-    return Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # The window spans the three counted sets, not the rows.
+    sets = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return counts.withColumn("share", F.col("rows") / F.sum("rows").over(sets))
 
 
 def share_violations(shares: DataFrame, wanted: dict[str, float], tolerance: float = 0.2) -> DataFrame:
@@ -42,12 +39,8 @@ def feature_violations(bag: DataFrame, tokens: DataFrame) -> DataFrame:
 
     ``bag`` is the long form with ``field``; posts without features cannot violate.
     """
-    sizes = tokens.select(
-        "uniqueID",
-        F.explode(
-            F.create_map(F.lit("title"), F.size("title"), F.lit("body"), F.size("body"))
-        ).alias("field", "tokens"),
-    )
+    pair = F.array(*[F.struct(F.lit(f).alias("field"), F.size(f).alias("tokens")) for f in FIELDS])
+    sizes = explode_rows(tokens, ["uniqueID"], pair, "pair").select("uniqueID", "pair.field", "pair.tokens")
     features = bag.groupBy("uniqueID", "field").agg(F.count("*").alias("features"))
     return (
         features.join(sizes, ["uniqueID", "field"])

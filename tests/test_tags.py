@@ -135,6 +135,24 @@ def test_lookup_equals_a_left_join(spark, monkeypatch, heavy):
         assert found.columns == ["id", "key", "rank", "n"]
 
 
+def test_answered_rows_leave_the_partition_of_their_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(lookup_module, "HEAVY_KEYS", 1)
+    keys = ["hot"] * 3000 + [None] * 3000 + [f"k{i % 500}" for i in range(3000)]
+    facts = spark.createDataFrame(list(enumerate(keys)), "id long, key string")
+    dim = materialize(spark.createDataFrame([("hot", 0)] + [(f"k{i}", i + 1) for i in range(500)], "key string, rank int"), "dim")
+    adaptive, threshold = (spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = lookup(facts, dim, ["key"], heavy_by_rank("rank"), "id")
+        sizes = [r["rows"] for r in quality.partition_sizes(found).collect()]
+        assert "hashpartitioning(key#" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(sizes) == 8 and sum(sizes) == 9000 and max(sizes) < 1600
+
+
 def test_split_is_reproducible_and_close_to_its_shares(spark):
     opts = Options()
     rows = split.assign_sets(spark.range(20000).withColumnRenamed("id", "uniqueID"), opts)
