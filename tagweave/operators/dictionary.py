@@ -44,10 +44,12 @@ def decode_tokens(
     placeholder in ``missing`` every position and every row stays. Rows that
     agree in id and tokens give one row.
     """
-    # Copies of a post collapse before they are collected, so that one group is
-    # never more than the tokens of one row.
-    own = rows.select("uniqueID", array, F.xxhash64(array).alias("_copy"))
-    places = explode_rows(own, ["uniqueID", "_copy"], array, "hash", "pos", outer=missing is not None)
+    # Copies of a post collapse before they are exploded, so that one group is
+    # never more than the tokens of one row. The same shuffle of compact hashes
+    # serves the regrouping, unless a large dictionary is joined in between.
+    key = ["uniqueID", "_copy"]
+    own = rows.select("uniqueID", array, F.xxhash64(array).alias("_copy")).dropDuplicates(key)
+    places = explode_rows(own, key, array, "hash", "pos", outer=missing is not None)
     found = lookup(places, dictionary, ["hash"], heavy_by_rank("index"), "uniqueID")
     if missing is None:
         found = found.where(F.col("token").isNotNull())
@@ -55,8 +57,8 @@ def decode_tokens(
         found = found.withColumn(
             "token", F.when(F.col("pos").isNotNull(), F.coalesce("token", F.lit(missing)))
         )
-    in_order = F.sort_array(F.collect_set(F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))))
-    tokens = found.groupBy("uniqueID", "_copy").agg(F.transform(in_order, lambda p: p["token"]).alias(name))
+    in_order = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))))
+    tokens = found.groupBy(*key).agg(F.transform(in_order, lambda p: p["token"]).alias(name))
     return tokens.drop("_copy")
 
 

@@ -15,9 +15,10 @@ from tagweave.operators.text import FIELDS, item_counts, merge_fields, merge_ngr
 from tagweave.options import IDF_ALGORITHM, Options
 from tagweave.sources.tables import materialize
 
-# A vector model ships its whole vocabulary to every executor; larger
-# vocabularies stay in the long form, which joins them.
+# A vector model ships its whole vocabulary to every executor; vocabularies of
+# more words or characters stay in the long form, which joins them.
 VECTOR_VOCABULARY = 2_000_000
+VECTOR_CHARACTERS = 100_000_000
 
 
 def term_statistics(tokens: DataFrame) -> DataFrame:
@@ -99,6 +100,9 @@ def add_bags(tokens: DataFrame, vocabulary: DataFrame, opts: Options, posts: int
     """
     if opts.vocab_size > VECTOR_VOCABULARY:
         raise ValueError(f"vectors hold up to {VECTOR_VOCABULARY} terms; use bag_long for more")
+    characters = vocabulary.agg(F.sum(F.length("words"))).first()[0] or 0
+    if characters > VECTOR_CHARACTERS:
+        raise ValueError(f"the words of a vector model hold up to {VECTOR_CHARACTERS} characters; use bag_long")
     terms = vocabulary.orderBy("rank").select("words", "df").collect()
     arrays = {f: [c for c in (f, f"{f}NGrams") if c in tokens.columns] for f in FIELDS}
     if opts.combine:

@@ -40,8 +40,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Give every core work when the input comes in few splits.
 
     A file without row groups, or a CSV file with quoted line breaks, is read
-    by one task. Large inputs have more splits than the cluster has cores and
-    are left as they are.
+    by one task. Only inputs that would leave more than half of the cores idle
+    are shuffled; large inputs have more splits than the cluster has cores.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if 2 * df.rdd.getNumPartitions() <= cores else df
