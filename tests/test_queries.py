@@ -7,9 +7,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+
 from tagweave.operators import dictionary, features, tags
 from tagweave.plans import queries as q
+from tagweave.plans.oracles import ORACLES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()
@@ -34,11 +35,11 @@ def plain(rows, columns):
     return sorted((tuple(cell(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(q.QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = q.QUERIES[name](spark, FOLDER)
     rows = df.collect()
-    sql = entry.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert rows
         return
@@ -49,7 +50,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_only_the_partition_report_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"partition_report"}
+    assert set(q.QUERIES) - set(entry.oracle_sql()) == {"partition_report"}
 
 
 def optimized(df):
