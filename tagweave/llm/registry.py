@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagweave.llm.chunks import OP6_SQL, op6_chunk_recipes
 from tagweave.llm.mixing import OP1_SQL, op1_mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op6_chunk_recipes": op6_chunk_recipes,
 }
 
-ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op6_chunk_recipes": OP6_SQL}
