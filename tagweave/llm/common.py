@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 # White space of all word rules here, and a word in Java's and Python's syntax.
 SPACES = " \t\n\x0b\x0c\r"
@@ -30,31 +29,29 @@ def slim(docs: DataFrame, id_col: str, text_col: str, **more: Column) -> DataFra
 
 def map_batches(df: DataFrame, make: Callable[..., dict], schema: str, **settings: object) -> DataFrame:
     """Apply ``make(batch, **settings) -> {column: values}`` to every Arrow batch of ``df``."""
-    names = StructType.fromDDL(schema).fieldNames()
-    types = arrow_types(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = make(batch, **settings)
-            yield to_batch(columns, names, types)
+            yield to_batch(make(batch, **settings), schema)
 
     return df.mapInArrow(run, schema)
 
 
-def to_batch(columns: dict, names: Sequence[str], types: Sequence[pa.DataType]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            columns[n] if isinstance(columns[n], pa.Array) else pa.array(columns[n], t)
-            for n, t in zip(names, types, strict=True)
-        ],
-        names=list(names),
-    )
-
+_ARROW = {
+    "long": pa.int64(),
+    "int": pa.int32(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+}
 
-def arrow_types(schema: str) -> list[pa.DataType]:
-    from pyspark.sql.pandas.types import to_arrow_type
 
-    return [to_arrow_type(f.dataType) for f in StructType.fromDDL(schema).fields]
+def to_batch(columns: dict, schema: str) -> pa.RecordBatch:
+    """A record batch of a schema such as ``a long, b string`` from lists or Arrow arrays."""
+    fields = [field.split() for field in schema.split(",")]
+    arrays = [c if isinstance(c := columns[n], pa.Array) else pa.array(c, _ARROW[kind]) for n, kind in fields]
+    return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
 
 
 def digest_spans(spans: Iterable[str]) -> str:

@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagweave.llm.chunks import OP6_SQL, op6_chunk_recipes
 from tagweave.llm.mixing import OP1_SQL, op1_mixing
+from tagweave.llm.packing import op9_bounded_packing
+from tagweave.llm.tokenfiles import op5_orc_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op5_orc_tokens": op5_orc_tokens,
     "op6_chunk_recipes": op6_chunk_recipes,
+    "op9_bounded_packing": op9_bounded_packing,
 }
 
 ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op6_chunk_recipes": OP6_SQL}
