@@ -7,15 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tagweave.llm.chunks import OP6_SQL, op6_chunk_recipes
+from tagweave.llm.ledger import op10_blob_ledger
+from tagweave.llm.licences import op7_licence_rules
+from tagweave.llm.lines import op2_line_labels
 from tagweave.llm.mixing import OP1_SQL, op1_mixing
 from tagweave.llm.packing import op9_bounded_packing
+from tagweave.llm.personal import op3_deobfuscated_pii
 from tagweave.llm.tokenfiles import op5_orc_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_line_labels": op2_line_labels,
+    "op3_deobfuscated_pii": op3_deobfuscated_pii,
     "op5_orc_tokens": op5_orc_tokens,
     "op6_chunk_recipes": op6_chunk_recipes,
+    "op7_licence_rules": op7_licence_rules,
     "op9_bounded_packing": op9_bounded_packing,
+    "op10_blob_ledger": op10_blob_ledger,
 }
 
 ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op6_chunk_recipes": OP6_SQL}
