@@ -13,12 +13,14 @@ from tagweave.llm.lines import op2_line_labels
 from tagweave.llm.mixing import OP1_SQL, op1_mixing
 from tagweave.llm.packing import op9_bounded_packing
 from tagweave.llm.personal import op3_deobfuscated_pii
+from tagweave.llm.sketches import OP4_SQL, op4_parity_sketches
 from tagweave.llm.tokenfiles import op5_orc_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_line_labels": op2_line_labels,
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
+    "op4_parity_sketches": op4_parity_sketches,
     "op5_orc_tokens": op5_orc_tokens,
     "op6_chunk_recipes": op6_chunk_recipes,
     "op7_licence_rules": op7_licence_rules,
@@ -26,4 +28,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_blob_ledger": op10_blob_ledger,
 }
 
-ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op6_chunk_recipes": OP6_SQL}
+ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_parity_sketches": OP4_SQL, "op6_chunk_recipes": OP6_SQL}
