@@ -13,6 +13,7 @@ from tagweave.llm.lines import op2_line_labels
 from tagweave.llm.mixing import OP1_SQL, op1_mixing
 from tagweave.llm.packing import op9_bounded_packing
 from tagweave.llm.personal import op3_deobfuscated_pii
+from tagweave.llm.repeats import op8_induced_suffixes
 from tagweave.llm.sketches import OP4_SQL, op4_parity_sketches
 from tagweave.llm.tokenfiles import op5_orc_tokens
 
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_orc_tokens": op5_orc_tokens,
     "op6_chunk_recipes": op6_chunk_recipes,
     "op7_licence_rules": op7_licence_rules,
+    "op8_induced_suffixes": op8_induced_suffixes,
     "op9_bounded_packing": op9_bounded_packing,
     "op10_blob_ledger": op10_blob_ledger,
 }
