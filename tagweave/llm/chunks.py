@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagweave.llm.common import SPACES, documents, map_batches, slim
@@ -103,9 +103,9 @@ def _chunk_rows(batch: pa.RecordBatch, digest: Callable[[bytes], bytes]) -> dict
     return out
 
 
-def _chunk_table(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[bytes], bytes]) -> DataFrame:
+def _chunk_table(docs: DataFrame, id_col: str, text_col: str, row: Column, digest: Callable[[bytes], bytes]) -> DataFrame:
     """One row per chunk; a text's first chunk also carries what belongs to the text."""
-    rows = slim(docs, id_col, text_col, row=F.monotonically_increasing_id())
+    rows = slim(docs, id_col, text_col, row=row)
     schema = (
         "row long, doc_id long, n_chars long, text_sha256 string, recipe binary, place int, digest binary, content binary"
     )
@@ -123,14 +123,19 @@ def _collided(chunks: DataFrame) -> DataFrame:
 
 
 def recipes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[bytes], bytes] = sha
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    row_col: str | None = None,
+    digest: Callable[[bytes], bytes] = sha,
 ) -> DataFrame:
     """One row per input row: row, doc_id, n_chars, text_sha256 and ``recipe``, its verified identifiers in order.
 
     An identifier is a chunk's digest. Should one digest stand for several
     contents, those chunks are numbered and their recipes carry the numbers too.
     """
-    chunks = _chunk_table(docs, id_col, text_col, digest)
+    row = docs[row_col] if row_col else F.monotonically_increasing_id()
+    chunks = _chunk_table(docs, id_col, text_col, row, digest)
     texts = chunks.where("place = 0").select("row", "doc_id", "n_chars", "text_sha256", "recipe")
     collided = materialize(_collided(chunks), "collided-chunks")
     if collided.isEmpty():
@@ -150,7 +155,11 @@ def recipes(
 
 
 def deduplicate(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[bytes], bytes] = sha
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    row_col: str | None = None,
+    digest: Callable[[bytes], bytes] = sha,
 ) -> DataFrame:
     """For every input row the row that stays for its text, ignoring white space.
 
@@ -158,9 +167,10 @@ def deduplicate(
     null id last), then the first of repeated rows: exactly one row a group has
     ``kept``. Null and blank texts are equal to the empty text. An empty table
     gives an empty result. Returns doc_id, keep_id, group_size, kept,
-    text_sha256 and row, a number for each input row as Spark reads it.
+    text_sha256 and row, which is ``row_col`` (unique) or a number for each input
+    row as Spark reads it.
     """
-    texts = recipes(docs, id_col, text_col, digest)
+    texts = recipes(docs, id_col, text_col, row_col, digest)
     order = F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     groups = materialize(
         texts.groupBy("recipe")

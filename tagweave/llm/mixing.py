@@ -115,24 +115,8 @@ def _in_bucket(shift: int) -> Column:
     return F.col("source").eqNullSafe(F.col("of")) & (F.shiftright("key", shift) == F.col("prefix"))
 
 
-def mix(
-    docs: DataFrame,
-    shares: Sequence[float] = (1.0,),
-    weights: Sequence[int] = WEIGHTS,
-    most: int = MOST_REPEATS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-) -> DataFrame:
-    """How many words of every document the mix takes, for each nested share of all words.
-
-    Sources, in order of their code points with null last, weigh ``weights``,
-    repeating. Returns one row per input row: doc_id, source, size, and
-    ``mixes``, an array over ``shares`` of (source_size, target, taken). A null
-    or blank text has size 0 and gives nothing; rows with the same or no id are
-    taken or left together; an empty table gives an empty result.
-    """
-    sized = materialize(
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return materialize(
         docs.select(
             docs[id_col].alias("doc_id"),
             docs[source_col].cast("string").alias("source"),
@@ -141,6 +125,10 @@ def mix(
         ),
         "mix-sizes",
     )
+
+
+def _plans(sized: DataFrame, shares: Sequence[float], weights: Sequence[int], most: int) -> DataFrame:
+    """One row per source: ``_of`` and ``_plans``, in the order of ``shares``."""
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = ordered_index(totals, [F.col("source").asc_nulls_last()], "place").withColumn(
         "weight", F.element_at(F.array(*map(F.lit, weights)), F.col("place") % len(weights) + 1)
@@ -153,33 +141,71 @@ def mix(
     plan = materialize(plan, "mix-plan")
     cut = thresholds(sized, plan).select(F.col("source").alias("of"), F.col("share_no").alias("nth"), "threshold")
     same = F.col("source").eqNullSafe(F.col("of")) & (F.col("share_no") == F.col("nth"))
-    mixes = materialize(
-        plan.join(cut, same, "left")
-        .groupBy(F.col("source").alias("of"))
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("share_no", "source_size", "target", "repeats", "budget", "threshold"))
-            ).alias("plans")
-        ),
-        "mix-cuts",
+    fields = F.struct("share_no", "source_size", "target", "repeats", "budget", "threshold")
+    return materialize(
+        plan.join(cut, same, "left").groupBy(F.col("source").alias("_of")).agg(F.sort_array(F.collect_list(fields)).alias("_plans")),
+        "mix-plans",
     )
-    # No threshold: the source ends before its budget does.
-    one_more = lambda p: (p.budget > 0) & (p.threshold.isNull() | (F.col("key") < p.threshold))
-    return sized.join(mixes, F.col("source").eqNullSafe(F.col("of"))).select(
+
+
+def _times(plan: Column, key: Column) -> Column:
+    """How often a document is taken; without a threshold its source ends before the budget does."""
+    more = (plan.budget > 0) & (plan.threshold.isNull() | (key < plan.threshold))
+    return plan.repeats + more.cast("long")
+
+
+def mix(
+    docs: DataFrame,
+    shares: Sequence[float] = (1.0,),
+    weights: Sequence[int] = WEIGHTS,
+    most: int = MOST_REPEATS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """How many words of every document the mix takes, for each nested share of all words.
+
+    Sources, in order of their code points with null last, weigh ``weights``,
+    repeating. Returns one row per input row: doc_id, source, size, and
+    ``mixes``, an array over ``shares`` of (source_size, target, taken). A null
+    or blank text has size 0 and gives nothing; rows with the same or no id are
+    taken or left together; an empty table gives an empty result.
+    """
+    sized = _sized(docs, id_col, text_col, source_col)
+    plans = _plans(sized, shares, weights, most)
+    return sized.join(plans, F.col("source").eqNullSafe(F.col("_of"))).select(
         "doc_id",
         "source",
         "size",
         F.transform(
-            "plans",
+            "_plans",
             lambda p: F.struct(
                 p.source_size.alias("source_size"),
                 p.target.alias("target"),
-                (F.col("size") * (p.repeats + one_more(p).cast("long"))).alias("taken"),
+                (F.col("size") * _times(p, F.col("key"))).alias("taken"),
             ),
         ).alias("mixes"),
     )
 
 
+def take(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    most: int = MOST_REPEATS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The mix itself: rows of ``docs``, each as often as it is taken. Rows without words are not taken."""
+    plans = _plans(_sized(docs, id_col, text_col, source_col), (1.0,), weights, most)
+    times = F.when(word_count(F.col(text_col)) > 0, _times(F.col("_plans")[0], hash_key(F.col(id_col)))).otherwise(0)
+    return (
+        docs.join(plans, F.col(source_col).cast("string").eqNullSafe(F.col("_of")))
+        .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+        .select(*docs.columns)
+    )
+
+
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     first = F.col("mixes")[0]
     return mix(documents(spark, folder)).select(
