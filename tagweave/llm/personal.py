@@ -169,7 +169,7 @@ _MAY_HIDE = re.compile(
 
 
 def hidden(text: str, base: list[Span]) -> list[Span]:
-    """Spans that only the rewritten text shows; none that meets a base span of its kind."""
+    """Spans that only the rewritten text shows; none that lies within a base span of its kind."""
     odd = not text.isascii() and (_ODD.search(text) or _UNSEEN.search(text))
     if not (odd or _MAY_HIDE.search(text) or (_DIGIT.search(text) and _MIXED.search(text))):
         return []
@@ -179,7 +179,7 @@ def hidden(text: str, base: list[Span]) -> list[Span]:
     found = []
     for kind, start, end in detect(tape.text):
         a, b = tape.starts[start], tape.ends[end - 1]
-        if not any(k == kind and s < b and a < e for k, s, e in base):
+        if not any(k == kind and s <= a and b <= e for k, s, e in base):
             found.append((kind, a, b))
     return found
 

@@ -411,7 +411,7 @@ WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[^\x20\x09-\x0D]+') AS w FROM documents
 ), sets AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> md5(array_to_string(w[i:i+4], ' ')))
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [md5(array_to_string(w[i:i+4], ' ')) for i in range(1, len(w) - 3)]
                                       ELSE [md5(array_to_string(w, ' '))] END) AS s
   FROM words WHERE len(w) > 0
 ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
