@@ -11,6 +11,7 @@ from tagweave.operators.ordering import ordered_index
 from tagweave.operators.rows import explode_rows
 from tagweave.operators.text import item_counts, merge_fields
 from tagweave.options import Options
+from tagweave.sources.tables import materialize
 
 
 def count_tokens(tokens: DataFrame) -> DataFrame:
@@ -41,14 +42,13 @@ def decode_tokens(
     """Hashes of an array column back to tokens, in their original order.
 
     Unknown hashes vanish, and with them rows that have no known hash; with a
-    placeholder in ``missing`` every position and every row stays. Rows that
-    agree in id and tokens give one row.
+    placeholder in ``missing`` every position and every row stays: one row per
+    sample, copies included.
     """
-    # Copies of a post collapse before they are exploded, so that one group is
-    # never more than the tokens of one row. The same shuffle of compact hashes
-    # serves the regrouping, unless a large dictionary is joined in between.
+    # A number of its own keeps the copies of a post apart, so that one group is
+    # never more than the tokens of one row; it is written, so that it holds.
     key = ["uniqueID", "_copy"]
-    own = rows.select("uniqueID", array, F.xxhash64(array).alias("_copy")).dropDuplicates(key)
+    own = materialize(rows.select("uniqueID", array).withColumn("_copy", F.monotonically_increasing_id()), "decode-rows")
     places = explode_rows(own, key, array, "hash", "pos", outer=missing is not None)
     found = lookup(places, dictionary, ["hash"], heavy_by_rank("index"), "uniqueID")
     if missing is None:

@@ -1,26 +1,17 @@
-"""Bag-of-words vocabulary, counts and TF-IDF, in long and in vector form."""
+"""Bag-of-words vocabulary, counts and TF-IDF, as rows and as one array per post."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.operators.lookup import heavy_by_rank, lookup
 from tagweave.operators.ordering import ordered_index
+from tagweave.operators.split import training_rows
 from tagweave.operators.text import FIELDS, item_counts, merge_fields, merge_ngrams
 from tagweave.options import IDF_ALGORITHM, Options
 from tagweave.sources.tables import materialize
 
-# A vector model ships its whole vocabulary to every executor; vocabularies of
-# more words or characters stay in the long form, which joins them.
-VECTOR_VOCABULARY = 2_000_000
-VECTOR_CHARACTERS = 100_000_000
-
-
 def term_statistics(tokens: DataFrame) -> DataFrame:
     """Term frequency and document frequency of every term, in one aggregate."""
     merged = merge_fields(merge_ngrams(tokens))
@@ -91,51 +82,39 @@ def decode_bag(bag: DataFrame) -> DataFrame:
     return bag.groupBy("uniqueID").agg(F.array_join(F.transform(pairs, lambda p: p["words"]), ",").alias("words"))
 
 
-def add_bags(tokens: DataFrame, vocabulary: DataFrame, opts: Options, posts: int) -> DataFrame:
-    """Add sparse vectors to each row: ``titleBodyBag``, or ``titleBag`` and ``bodyBag``.
+def bag_table(tokens: DataFrame, vocabulary: DataFrame, opts: Options, posts: int) -> DataFrame:
+    """``uniqueID`` and ``titleBodyBag``, or ``titleBag`` and ``bodyBag``, of every post with a known term.
 
-    The vocabulary has at most ``vocab_size`` rows, which bounds both what is
-    collected here and what the model broadcasts. The rows do not move, and their
-    token arrays stay free of the n-grams that the vectors count.
+    A bag is the sparse vector as an array of (rank, value), sorted by rank; it
+    has no limit of size, and an empty vocabulary gives an empty table.
     """
-    if opts.vocab_size > VECTOR_VOCABULARY:
-        raise ValueError(f"vectors hold up to {VECTOR_VOCABULARY} terms; use bag_long for more")
-    characters = vocabulary.agg(F.sum(F.length("words"))).first()[0] or 0
-    if characters > VECTOR_CHARACTERS:
-        raise ValueError(f"the words of a vector model hold up to {VECTOR_CHARACTERS} characters; use bag_long")
-    terms = vocabulary.orderBy("rank").select("words", "df").collect()
-    arrays = {f: [c for c in (f, f"{f}NGrams") if c in tokens.columns] for f in FIELDS}
-    if opts.combine:
-        sources = {"titleBodyBag": [c for f in FIELDS for c in arrays[f]]}
-    else:
-        sources = {f"{f}Bag": arrays[f] for f in FIELDS}
-    if not terms:
-        raise ValueError("no term occurs in min_df posts, so there is no vocabulary")
-    weights = None
+    known = vocabulary
     if opts.algorithm == IDF_ALGORITHM:
-        weights = Vectors.dense([math.log((posts + 1) / (t["df"] + 1)) for t in terms])
-    words = [t["words"] for t in terms]
-    rows = tokens
-    for bag, columns in sources.items():
-        counts = bag if weights is None else "_counts"
-        model = CountVectorizerModel.from_vocabulary(words, inputCol="_terms", outputCol=counts)
-        rows = model.transform(rows.withColumn("_terms", F.concat(*columns))).drop("_terms")
-        if weights is not None:
-            scale = ElementwiseProduct(scalingVec=weights, inputCol=counts, outputCol=bag)
-            rows = scale.transform(rows).drop(counts)
-    return rows.drop(*[f"{f}NGrams" for f in FIELDS])
+        known = materialize(idf_weights(vocabulary, posts), "weighted-vocabulary")
+    long = bag_long(tokens, known, opts)
+    value = F.col("n") * F.col("weight") if opts.algorithm == IDF_ALGORITHM else F.col("n").cast("double")
+    cell = F.struct("rank", value.alias("value"))
+    names = {"titleBodyBag": F.lit(True)} if opts.combine else {f"{f}Bag": F.col("field") == f for f in FIELDS}
+    return long.groupBy("uniqueID").agg(
+        *[F.sort_array(F.collect_list(F.when(of, cell))).alias(name) for name, of in names.items()]
+    )
 
 
-def bag_table(tokens: DataFrame, vocabulary: DataFrame, opts: Options, posts: int) -> DataFrame:
-    """``uniqueID`` and the vector columns only."""
-    bags = add_bags(tokens, vocabulary, opts, posts)
-    return bags.select("uniqueID", *[c for c in bags.columns if c.endswith("Bag")])
+def bag_names(opts: Options) -> list[str]:
+    return ["titleBodyBag"] if opts.combine else [f"{f}Bag" for f in FIELDS]
+
+
+def fill_bags(rows: DataFrame, opts: Options) -> DataFrame:
+    """Posts without a known term get empty bags."""
+    empty = F.array().cast("array<struct<rank:int,value:double>>")
+    return rows.withColumns({b: F.coalesce(b, empty) for b in bag_names(opts)})
 
 
 def fit_features(tokens: DataFrame, opts: Options) -> tuple[DataFrame, int]:
     """Written vocabulary and number of posts, from all or from the training posts.
 
-    ``tokens`` needs the column ``set`` if ``opts.fit_on`` is ``training``.
+    ``tokens`` needs the column ``set`` if ``opts.fit_on`` is ``training``. The
+    job passes only posts with a tag row in that case.
     """
-    fitted = tokens if opts.fit_on == "all" else tokens.where(F.col("set") == "Training")
+    fitted = tokens if opts.fit_on == "all" else training_rows(tokens)
     return materialize(build_vocabulary(fitted, opts), "vocabulary"), fitted.count()

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth, FPGrowthModel
+from dataclasses import dataclass
+
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.operators.lookup import heavy_by_count, lookup
 from tagweave.operators.rows import explode_rows
 from tagweave.operators.split import training_rows
 from tagweave.operators.tags import cap_labels
@@ -15,9 +18,6 @@ from tagweave.sources.tables import materialize
 # Items are strings, so a label and a token can never be the same item.
 TOKEN, LABEL = "t:", "l:"
 
-# Rule sets up to this size are broadcast to every executor for prediction.
-BROADCAST_RULES = 10_000
-
 
 def _prefixed(values: Column, prefix: str) -> Column:
     return F.transform(values, lambda v: F.concat(F.lit(prefix), v.cast("string")))
@@ -53,23 +53,35 @@ def build_baskets(samples: DataFrame, opts: Options) -> DataFrame:
     )
 
 
-def signed_items(samples: DataFrame, opts: Options) -> DataFrame:
-    """``set, items``: distinct tokens as negative hashes and labels as ranks, for export."""
+def signed_items(samples: DataFrame) -> DataFrame:
+    """``set, items``: distinct tokens as negative hashes and all labels as ranks, for export."""
     tokens = F.transform(F.concat("title", "body"), lambda h: -F.abs(h))
-    labels = cap_labels(F.col("domainSpecificLabels"), opts.label_cap).cast("array<bigint>")
+    labels = F.col("domainSpecificLabels").cast("array<bigint>")
     return samples.select("uniqueID", "set", F.array_distinct(F.concat(tokens, labels)).alias("items"))
 
 
-def fit_rules(baskets: DataFrame, opts: Options, items: str = "items") -> FPGrowthModel:
+@dataclass(frozen=True)
+class Mined:
+    """Frequent itemsets and rules of a fit, as written tables."""
+
+    itemsets: DataFrame
+    rules: DataFrame
+
+
+def fit_rules(baskets: DataFrame, opts: Options, items: str = "items") -> Mined:
     """FP-growth on the training baskets; support as a number or a share of posts.
 
-    The fit passes over its input several times, so the baskets are written first.
+    The fit passes over its input several times, so the baskets are written
+    first; itemsets and rules are written once for all that use them. The model
+    keeps the frequent items on the driver: with a share of posts their number
+    does not grow with the posts, with an absolute ``support_count`` it does.
     """
     training = materialize(training_rows(baskets).select(items), "training-baskets")
     support = opts.min_support
     if support is None:
         support = min(1.0, opts.support_count / max(training.count(), 1))
-    return FPGrowth(itemsCol=items, minSupport=support, minConfidence=opts.min_confidence).fit(training)
+    model = FPGrowth(itemsCol=items, minSupport=support, minConfidence=opts.min_confidence).fit(training)
+    return Mined(materialize(model.freqItemsets, "itemsets"), materialize(model.associationRules, "rules"))
 
 
 def label_rules(rules: DataFrame) -> DataFrame:
@@ -77,47 +89,56 @@ def label_rules(rules: DataFrame) -> DataFrame:
     return rules.where(is_label(F.col("consequent")[0]))
 
 
-def predict(
-    baskets: DataFrame, model: FPGrowthModel, items: str = "tokens", limit: int = BROADCAST_RULES
-) -> DataFrame:
-    """Add ``prediction``: consequents of the rules whose antecedent the basket holds.
+def file_rules(mined: Mined) -> DataFrame:
+    """One row per anchor: the antecedents filed under it, each with all its consequents.
 
-    A small rule set is broadcast and applied in place; a larger one is joined.
+    An antecedent's anchor is its rarest item, so a frequent item is the anchor
+    only of antecedents that consist of frequent items alone.
     """
-    rules = model.associationRules
-    if rules.limit(limit + 1).count() <= limit:
-        return model.setItemsCol(items).setPredictionCol("prediction").transform(baskets)
-    return predict_by_join(baskets, rules, model.freqItemsets, items)
+    antecedents = mined.rules.groupBy("antecedent").agg(
+        F.array_distinct(F.flatten(F.collect_set("consequent"))).alias("then")
+    )
+    single = mined.itemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("anchor"), "freq")
+    return (
+        antecedents.select("antecedent", "then", F.explode("antecedent").alias("anchor"))
+        .join(single, "anchor")
+        .groupBy("antecedent")
+        .agg(F.min_by(F.struct("anchor", "freq"), F.struct("freq", "anchor")).alias("rarest"), F.first("then").alias("then"))
+        .groupBy(F.col("rarest.anchor").alias("anchor"), F.col("rarest.freq").alias("freq"))
+        .agg(F.collect_list(F.struct("antecedent", "then")).alias("filed"))
+    )
 
 
-def predict_by_join(
-    baskets: DataFrame, rules: DataFrame, itemsets: DataFrame, items: str = "tokens"
-) -> DataFrame:
-    """The same prediction for any number of rules, as joins.
+def predict(baskets: DataFrame, mined: Mined, items: str = "tokens") -> DataFrame:
+    """Add ``prediction``: consequents of the rules whose antecedent the basket holds.
 
-    Each antecedent is filed under its rarest item. A basket meets only the
-    antecedents filed under one of its items, and the containment test then
-    happens inside the row, so a frequent item meets no more rules than those
-    that consist of frequent items alone.
+    A basket is first cut down to the items that antecedents are made of, so the
+    rest of a long post is never copied. It then meets the rules filed under its
+    anchors, and containment is tested inside the row. Frequent anchors are
+    looked up without a shuffle.
     """
-    antecedents = rules.groupBy("antecedent").agg(F.array_distinct(F.flatten(F.collect_set("consequent"))).alias("then"))
-    single = itemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("anchor"), "freq")
-    filed = (
-        antecedents.select("antecedent", "then", F.explode("antecedent").alias("anchor"))
-        .join(single, "anchor")
-        .groupBy("antecedent")
-        .agg(F.min_by("anchor", F.struct("freq", "anchor")).alias("anchor"), F.first("then").alias("then"))
+    anchors = materialize(file_rules(mined), "anchors")
+    useful = anchors.select(F.explode(F.flatten("filed.antecedent")).alias("item")).distinct()
+    useful = materialize(useful.join(anchors, F.col("item") == F.col("anchor"), "left").select("item", F.coalesce("freq", F.lit(0)).alias("freq")), "rule-items")
+    exploded = explode_rows(baskets.select("id", F.array_distinct(items).alias("_items")), ["id"], "_items", "item")
+    known = lookup(exploded, useful.withColumn("_known", F.lit(True)), ["item"], heavy_by_count(useful, "freq"), "id")
+    cut = known.where("_known").groupBy("id").agg(F.collect_set("item").alias("_basket"))
+    met = lookup(
+        explode_rows(cut, ["id", "_basket"], "_basket", "anchor"), anchors, ["anchor"], heavy_by_count(anchors, "freq"), "id"
     )
-    met = (
-        explode_rows(baskets.withColumn("_basket", F.col(items)), ["id", "_basket"], items, "anchor")
-        .join(filed, "anchor")
-        .where(F.size(F.array_except("antecedent", "_basket")) == 0)
-        .select("id", F.explode(F.array_except("then", "_basket")).alias("_then"))
+    found = (
+        met.where(F.col("filed").isNotNull())
+        .select("id", "_basket", F.explode("filed").alias("rule"))
+        .where(F.size(F.array_except("rule.antecedent", "_basket")) == 0)
+        .select("id", F.explode("rule.then").alias("_then"))
         .groupBy("id")
-        .agg(F.collect_set("_then").alias("prediction"))
+        .agg(F.collect_set("_then").alias("_then"))
     )
-    return baskets.join(met, "id", "left").withColumn(
-        "prediction", F.coalesce("prediction", F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    return (
+        baskets.join(found, "id", "left")
+        .withColumn("prediction", F.array_except(F.coalesce("_then", none), items))
+        .drop("_then")
     )
 
 

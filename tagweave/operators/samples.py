@@ -19,27 +19,22 @@ def assemble_samples(text: DataFrame, encoded: DataFrame, how: str = "left") ->
     """Join encoded tags to the processed text of the same post.
 
     Posts without tags keep empty label sets and count 0; the domain is the
-    text's. ``text`` may already carry feature vectors, which then need no join
-    of their own. With ``how="inner"`` and untagged posts kept in ``encoded``,
-    the restriction to posts that have a tag row rides on the same join.
+    text's.
     """
-    labels = encoded.select(
-        "uniqueID",
-        F.col("globalTags").alias("globalLabels"),
-        F.col("domainTags").alias("domainSpecificLabels"),
-        F.col("originalTagCount").cast("int").alias("originalTagCount"),
-    )
-    features = [c for c in text.columns if c.endswith("Bag")]
-    return text.join(labels, "uniqueID", how).select(
+    return label_samples(text.join(encoded.drop("domain"), "uniqueID", how))
+
+
+def label_samples(labelled: DataFrame) -> DataFrame:
+    """The sample columns of text that already carries its encoded tags."""
+    return labelled.select(
         "uniqueID",
         "title",
         "body",
         "domain",
-        F.coalesce("globalLabels", empty_labels()).alias("globalLabels"),
-        F.coalesce("domainSpecificLabels", empty_labels()).alias("domainSpecificLabels"),
-        F.coalesce("originalTagCount", F.lit(0)).alias("originalTagCount"),
+        F.coalesce("globalTags", empty_labels()).alias("globalLabels"),
+        F.coalesce("domainTags", empty_labels()).alias("domainSpecificLabels"),
+        F.coalesce(F.col("originalTagCount").cast("int"), F.lit(0)).alias("originalTagCount"),
         "set",
-        *features,
     )
 
 
@@ -74,7 +69,10 @@ def shard_exactly(samples: DataFrame, rows_per_shard: int) -> DataFrame:
 
 
 def flatten_samples(samples: DataFrame) -> DataFrame:
-    """Array columns as blank-separated text, for formats that hold no arrays."""
+    """Array columns as blank-separated text, for formats that hold no arrays; bags as ``rank:value``."""
     arrays = ("title", "body", "globalLabels", "domainSpecificLabels")
     flat = {a: F.array_join(F.col(a).cast("array<string>"), " ") for a in arrays}
+    cell = lambda c: F.concat_ws(":", c["rank"].cast("string"), c["value"].cast("string"))
+    bags = [c for c in samples.columns if c.endswith("Bag")]
+    flat |= {b: F.array_join(F.transform(b, cell), " ") for b in bags}
     return samples.withColumns(flat)

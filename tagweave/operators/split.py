@@ -34,4 +34,5 @@ def with_tag_row(text: DataFrame, tags: DataFrame) -> DataFrame:
 
 
 def bernoulli_sample(posts: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    return posts.sample(fraction=fraction, seed=seed)
+    """Each post with probability ``fraction``, by its id and the seed: the same in any partitioning."""
+    return posts.where(uniform_draw(F.col("uniqueID"), seed) < fraction)

@@ -26,7 +26,8 @@ class Options:
     fraction_of_tags: float = 1.0
     seed: int = 0
     output_format: str = "parquet"
-    rows_per_shard: int = 100
+    rows_per_shard: int = 1_000_000
+    max_records_per_file: int = 1_000_000
     token_usage_threshold: int = 5
     vocab_size: int = 100
     ngrams: int = 0
@@ -55,7 +56,7 @@ class Options:
         check(abs(sum(shares) - 1) < 1e-9, "shares must add up to 1")
         check(0 < self.fraction_of_tags <= 1, "fraction_of_tags must lie in (0, 1]")
         check(self.output_format in ("parquet", "csv"), "output_format: parquet or csv")
-        check(self.rows_per_shard > 0, "rows_per_shard must be positive")
+        check(self.rows_per_shard > 0 and self.max_records_per_file > 0, "shards and files must have rows")
         check(self.token_usage_threshold >= 0, "token_usage_threshold must not be negative")
         check(self.vocab_size > 0, "vocab_size must be positive")
         check(self.ngrams >= 0, "ngrams must not be negative")

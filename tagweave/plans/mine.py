@@ -2,27 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowthModel
 from pyspark.sql import DataFrame, SparkSession
 
 from tagweave.operators import mining
 from tagweave.options import Options
 from tagweave.sources import sinks
 from tagweave.sources.posts import read_samples
+from tagweave.sources.tables import materialize
 
 
-def mine(samples: DataFrame, opts: Options) -> tuple[FPGrowthModel, DataFrame]:
+def mine(samples: DataFrame, opts: Options) -> tuple[mining.Mined, DataFrame]:
     """Rules of the training posts, and precision, recall and F1 of every set."""
-    baskets = mining.build_baskets(samples, opts)
-    model = mining.fit_rules(baskets, opts)
-    predicted = mining.predict(baskets, model)
-    return model, mining.micro_scores(mining.confusion(predicted))
+    baskets = materialize(mining.build_baskets(samples, opts), "baskets")
+    mined = mining.fit_rules(baskets, opts)
+    predicted = mining.predict(baskets, mined)
+    return mined, mining.micro_scores(mining.confusion(predicted))
 
 
-def mine_domain(spark: SparkSession, output: str, domain: str, opts: Options) -> tuple[FPGrowthModel, DataFrame]:
+def mine_domain(spark: SparkSession, output: str, domain: str, opts: Options) -> tuple[mining.Mined, DataFrame]:
     return mine(read_samples(spark, output, domain), opts)
 
 
-def export_domain(spark: SparkSession, output: str, domain: str, opts: Options) -> None:
+def export_domain(spark: SparkSession, output: str, domain: str) -> None:
     """Transaction and appearance files of one domain, next to its samples."""
-    sinks.write_transactions(read_samples(spark, output, domain), output, opts)
+    sinks.write_transactions(read_samples(spark, output, domain), output)

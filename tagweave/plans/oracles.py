@@ -8,12 +8,22 @@ from __future__ import annotations
 
 import re
 
-from tagweave.functions import text as fn
 from tagweave.functions.stemming import STEP_2, STEP_3, STEP_4
 from tagweave.functions.stopwords import ENGLISH
 from tagweave.operators.split import TEST, TRAINING, VALIDATION
 from tagweave.options import Options
-from tagweave.plans.queries import DEFAULTS, LABEL_CAP, NGRAM, TAG_FRACTION, TAG_RULES, TEXT_RULES
+from tagweave.plans.queries import (
+    DEFAULTS,
+    LABEL_CAP,
+    LOOKED_UP,
+    NGRAM,
+    REPORT_PARTS,
+    SAMPLE_SEED,
+    SAMPLE_SHARE,
+    SHARD_ROWS,
+    TAG_FRACTION,
+    TEXT_RULES,
+)
 
 
 def _quote(value: str) -> str:
@@ -23,8 +33,10 @@ def _quote(value: str) -> str:
 STEPS: dict[str, str] = {}
 ORACLES: dict[str, str] = {}
 STOP_LIST = ", ".join(_quote(w) for w in ENGLISH)
-MATH = _quote(fn.MATH_PATTERN)
-WORD = _quote(fn.WORD_PATTERN)
+# Written out here, so that an error in the library's own patterns shows.
+FORMULA = r"\$\$.*?\$\$|\$.*?\$|\\begin.*?\\end\{.*?\}"
+MATH = _quote(FORMULA)
+WORD = _quote(r"[\p{L}\p{N}]+")
 
 
 def _needed(sql: str, seen: list[str], own: str = "") -> list[str]:
@@ -99,20 +111,25 @@ STEPS["c_letter"] = f"SELECT * REPLACE ({_letters('title')} AS title, {_letters(
 STEPS["c_normal"] = f"SELECT * REPLACE ({_no_stop('title')} AS title, {_no_stop('body')} AS body) FROM c_letter"
 
 ORACLES["clean_text"] = 'SELECT "uniqueID", title, body, domain FROM c_text'
-DOTALL = _quote("(?s)" + fn.MATH_PATTERN)
+DOTALL = _quote("(?s)" + FORMULA)
 ORACLES["clean_text_dotall"] = f"""
 SELECT "uniqueID", regexp_replace(coalesce(title, ''), {DOTALL}, '', 'g') AS title,
        regexp_replace(coalesce(body, ''), {DOTALL}, '', 'g') AS body
 FROM c_raw"""
 ORACLES["distinct_domains"] = "SELECT DISTINCT domain FROM c_text"
 ORACLES["documents_assembled"] = 'SELECT "uniqueID", title, body FROM c_doc'
+
+
+def _sentences(field: str) -> str:
+    found = f"regexp_extract_all({field}, '[^.!?]+[.!?]*')"
+    return f"list_filter(list_transform({found}, lambda s: trim(s)), lambda s: s <> '')"
+
+
 STEPS["c_sentence"] = f"""
-SELECT "uniqueID",
-       list_filter(list_transform(regexp_extract_all(body, {_quote(fn.SENTENCE_PATTERN)}), lambda s: trim(s)),
-                   lambda s: s <> '') AS parts
-FROM c_doc"""
+SELECT "uniqueID", {_sentences('title')} AS title, {_sentences('body')} AS body FROM c_doc"""
 ORACLES["sentences"] = f"""
-SELECT "uniqueID", len(parts)::BIGINT AS n, {_text_of('parts', '|')} AS body FROM c_sentence"""
+SELECT "uniqueID", len(title)::BIGINT AS n_title, len(body)::BIGINT AS n_body,
+       {_text_of('title', '|')} AS title, {_text_of('body', '|')} AS body FROM c_sentence"""
 
 
 def _token_query(step: str) -> str:
@@ -120,7 +137,7 @@ def _token_query(step: str) -> str:
 
 
 ORACLES["tokens"] = _token_query("c_word")
-SYMBOL = _quote(fn.WORD_OR_SYMBOL_PATTERN)
+SYMBOL = _quote(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]")
 STEPS["c_symbol"] = f"""
 SELECT * REPLACE (regexp_extract_all(title, {SYMBOL}) AS title, regexp_extract_all(body, {SYMBOL}) AS body) FROM c_doc"""
 ORACLES["tokens_punctuation"] = _token_query("c_symbol")
@@ -316,18 +333,24 @@ FROM (SELECT token, count(*) AS n
       FROM (SELECT unnest(title || body) AS token FROM c_token
             WHERE "set" = '{TRAINING}' AND "uniqueID" IN (SELECT "uniqueID" FROM c_tag))
       GROUP BY token HAVING count(*) > {DEFAULTS.token_usage_threshold})"""
-STEPS["c_body"] = """
-SELECT "uniqueID", unnest(body) AS token, generate_subscripts(body, 1) AS pos FROM c_token"""
+STEPS["c_fields"] = """
+SELECT "uniqueID", 'title' AS field, title AS original FROM c_text UNION ALL SELECT "uniqueID", 'body', body FROM c_text"""
+STEPS["c_position"] = """
+SELECT "uniqueID", 'title' AS field, unnest(title) AS token, generate_subscripts(title, 1) AS pos FROM c_token
+UNION ALL
+SELECT "uniqueID", 'body', unnest(body), generate_subscripts(body, 1) FROM c_token"""
 STEPS["c_missing"] = """
-SELECT t."uniqueID", coalesce(string_agg(coalesce(d.token, 'NOTFOUND'), ',' ORDER BY p.pos) FILTER (p.pos IS NOT NULL), '') AS body
-FROM c_text t LEFT JOIN c_body p ON p."uniqueID" = t."uniqueID" LEFT JOIN c_dictionary d ON d.token = p.token
-GROUP BY t."uniqueID\""""
+SELECT t."uniqueID", t.field, any_value(t.original) AS original,
+       coalesce(string_agg(coalesce(d.token, 'NOTFOUND'), ',' ORDER BY p.pos) FILTER (p.pos IS NOT NULL), '') AS recovered
+FROM c_fields t LEFT JOIN c_position p ON p."uniqueID" = t."uniqueID" AND p.field = t.field
+LEFT JOIN c_dictionary d ON d.token = p.token
+GROUP BY t."uniqueID", t.field"""
 ORACLES["token_dictionary"] = 'SELECT token, i AS "index" FROM c_dictionary'
 ORACLES["decode_known"] = """
-SELECT "uniqueID", string_agg(token, ',' ORDER BY pos) AS body FROM c_body JOIN c_dictionary USING (token) GROUP BY "uniqueID\""""
-ORACLES["decode_missing"] = 'SELECT "uniqueID", body FROM c_missing'
-ORACLES["decode_compare"] = """
-SELECT m."uniqueID", m.body AS recovered, t.title FROM c_missing m JOIN c_text t ON t."uniqueID" = m."uniqueID\""""
+SELECT "uniqueID", field, string_agg(token, ',' ORDER BY pos) AS recovered
+FROM c_position JOIN c_dictionary USING (token) GROUP BY "uniqueID", field"""
+ORACLES["decode_missing"] = 'SELECT "uniqueID", field, recovered FROM c_missing'
+ORACLES["decode_compare"] = 'SELECT "uniqueID", field, recovered, original FROM c_missing'
 
 # Features
 
@@ -382,22 +405,24 @@ _COLUMNS = f"""
        "originalTagCount", len(title)::BIGINT AS title_tokens, len(body)::BIGINT AS body_tokens"""
 
 
-def _shard(source: str) -> str:
+def _shard(source: str, rows: int = DEFAULTS.rows_per_shard) -> str:
     return f"""
-SELECT *, {_draw('"uniqueID"')} % ceil(count(*) OVER (PARTITION BY domain, "set") / {DEFAULTS.rows_per_shard}::DOUBLE)::BIGINT AS rng
+SELECT *, {_draw('"uniqueID"')} % ceil(count(*) OVER (PARTITION BY domain, "set") / {rows}::DOUBLE)::BIGINT AS rng
 FROM {source}"""
 
 
 ORACLES["assembled_samples"] = f'SELECT "uniqueID", domain, "set", {_COLUMNS} FROM c_sample'
 STEPS["c_sum"] = """
-SELECT "uniqueID", sum(n * weight) AS weight FROM c_term JOIN c_weight USING (term) GROUP BY "uniqueID\""""
+SELECT "uniqueID", sum(n * weight) AS weight, string_agg(r::VARCHAR, ' ' ORDER BY r) AS ranks
+FROM c_term JOIN c_weight USING (term) GROUP BY "uniqueID\""""
 ORACLES["samples_with_features"] = """
-SELECT s."uniqueID", s."set", round(coalesce(w.weight, 0), 4) AS weight
-FROM c_sample s LEFT JOIN c_sum w ON w."uniqueID" = s."uniqueID\""""
+SELECT s."uniqueID", s."set", w.r AS "rank", round(n * weight, 6) AS tfidf
+FROM c_sample s LEFT JOIN (c_term JOIN c_weight USING (term)) w ON w."uniqueID" = s."uniqueID\""""
 STEPS["c_tagged"] = 'SELECT * FROM c_sample WHERE "uniqueID" IN (SELECT "uniqueID" FROM c_tag)'
 STEPS["c_tagged_shard"] = _shard("c_tagged")
 ORACLES["prepare"] = f"""
-SELECT s."uniqueID", domain, "set", {_COLUMNS}, rng, round(coalesce(w.weight, 0), 4) AS weight
+SELECT s."uniqueID", domain, "set", {_COLUMNS}, rng, round(coalesce(w.weight, 0), 4) AS weight,
+       coalesce(w.ranks, '') AS ranks
 FROM c_tagged_shard s LEFT JOIN c_sum w ON w."uniqueID" = s."uniqueID\""""
 ORACLES["samples_csv"] = f"""
 SELECT "uniqueID", {_text_of('globals')} AS "globalLabels", {_text_of('domains')} AS "domainSpecificLabels",
@@ -406,11 +431,11 @@ STEPS["c_sample_shard"] = _shard("c_sample")
 ORACLES["partitioned_scan"] = f"""
 SELECT "uniqueID", domain, "set", {_COLUMNS}, rng::INTEGER AS rng
 FROM c_sample_shard WHERE domain = 'en' AND "set" = '{TRAINING}'"""
-STEPS["c_tag_shard"] = _shard("c_tag")
+STEPS["c_tag_shard"] = _shard("c_tag", SHARD_ROWS)
 ORACLES["shards"] = 'SELECT domain, "set", rng, count(*) AS "rows" FROM c_tag_shard GROUP BY ALL'
 ORACLES["shards_exact"] = f"""
 SELECT "uniqueID", domain, "set",
-       ((row_number() OVER (PARTITION BY domain, "set" ORDER BY "uniqueID") - 1) // {DEFAULTS.rows_per_shard})::BIGINT AS rng
+       ((row_number() OVER (PARTITION BY domain, "set" ORDER BY "uniqueID") - 1) // {SHARD_ROWS})::BIGINT AS rng
 FROM c_tag"""
 ORACLES["run_report"] = """
 SELECT 'tags_in_domain' AS metric, domain AS key, count(*) AS value FROM c_count GROUP BY domain
@@ -428,19 +453,6 @@ def _minimum(baskets: str, opts: Options) -> str:
     return f"ceil(({share}) * {posts})"
 
 
-STEPS["c_tag_basket"] = f"""
-SELECT "uniqueID" AS id, "set",
-       list_transform(list_filter(globals, lambda r: r < {TAG_RULES.label_cap}), lambda r: 'l:' || r) AS items
-FROM c_encoded"""
-STEPS["c_tag_item"] = f"SELECT id, unnest(items) AS item FROM c_tag_basket WHERE \"set\" = '{TRAINING}'"
-STEPS["c_subset"] = """
-SELECT id, [item] AS items, item AS last FROM c_tag_item
-UNION ALL
-SELECT s.id, list_append(s.items, i.item), i.item FROM c_subset s JOIN c_tag_item i ON i.id = s.id AND i.item > s.last"""
-STEPS["c_itemset"] = f"""
-SELECT items, count(*) AS freq FROM c_subset GROUP BY items HAVING count(*) >= {_minimum('c_tag_basket', TAG_RULES)}"""
-
-
 def _rules_of(itemsets: str, opts: Options) -> str:
     return f"""
 SELECT w.antecedent, w.consequent, w.freq::DOUBLE / a.freq AS confidence
@@ -450,38 +462,24 @@ JOIN {itemsets} a ON a.items = w.antecedent
 WHERE w.freq::DOUBLE / a.freq >= {opts.min_confidence}"""
 
 
-STEPS["c_tag_rule"] = _rules_of("c_itemset", TAG_RULES)
-ORACLES["itemsets"] = "SELECT array_to_string(items, ',') AS items, freq FROM c_itemset"
-ORACLES["rules"] = """
-SELECT array_to_string(antecedent, ',') AS antecedent, consequent, round(confidence, 6) AS confidence FROM c_tag_rule"""
-
-STEPS["c_normal_term"] = """
-SELECT "uniqueID", term, count(*) AS n
-FROM (SELECT "uniqueID", unnest(title || body) AS term FROM c_normal) GROUP BY ALL"""
-STEPS["c_text_vocabulary"] = _vocabulary("c_normal_term", TEXT_RULES)
-STEPS["c_title_word"] = """
-SELECT "uniqueID", list(DISTINCT 't:' || r) AS words
-FROM (SELECT "uniqueID", unnest(title) AS term FROM c_normal) JOIN c_text_vocabulary USING (term) GROUP BY "uniqueID\""""
 STEPS["c_text_basket"] = f"""
-SELECT t."uniqueID" AS id, t."set", coalesce(w.words, []) AS tokens,
+SELECT t."uniqueID" AS id, t."set", list_transform(list_distinct(t.title || t.body), lambda w: 't:' || w) AS tokens,
        list_transform(list_filter(coalesce(e.domains, []), lambda r: r < {TEXT_RULES.label_cap}), lambda r: 'l:' || r) AS labels
-FROM c_text t LEFT JOIN c_title_word w ON w."uniqueID" = t."uniqueID" LEFT JOIN c_encoded e ON e."uniqueID" = t."uniqueID\""""
+FROM c_normal t JOIN c_encoded e ON e."uniqueID" = t."uniqueID\""""
 STEPS["c_text_item"] = f"SELECT id, unnest(tokens || labels) AS item FROM c_text_basket WHERE \"set\" = '{TRAINING}'"
 
-# Frequent sets grow level by level, each level pruned before the next.
-LEVELS = 8
+# Frequent sets grow by one item a step, each step pruned before the next, until none is left.
 _FLOOR = _minimum("c_text_basket", TEXT_RULES)
-STEPS["c_level1"] = f"""
-SELECT id, [item] AS items, item AS last FROM c_text_item
-QUALIFY count(*) OVER (PARTITION BY item) >= {_FLOOR}"""
-for _level in range(2, LEVELS + 1):
-    STEPS[f"c_level{_level}"] = f"""
-SELECT id, items, last
-FROM (SELECT p.id, list_append(p.items, n.last) AS items, n.last
-      FROM c_level{_level - 1} p JOIN c_level1 n ON n.id = p.id AND n.last > p.last)
-QUALIFY count(*) OVER (PARTITION BY items) >= {_FLOOR}"""
-_ALL_LEVELS = " UNION ALL ".join(f"SELECT items FROM c_level{k}" for k in range(1, LEVELS + 1))
-STEPS["c_text_itemset"] = f"SELECT items, count(*) AS freq FROM ({_ALL_LEVELS}) GROUP BY items"
+STEPS["c_single"] = f"""
+SELECT id, item FROM c_text_item QUALIFY count(*) OVER (PARTITION BY item) >= {_FLOOR}"""
+STEPS["c_grown"] = f"""
+SELECT id, [item] AS items, item AS last FROM c_single
+UNION ALL
+(SELECT id, items, last
+FROM (SELECT p.id, list_append(p.items, n.item) AS items, n.item AS last
+      FROM c_grown p JOIN c_single n ON n.id = p.id AND n.item > p.last)
+QUALIFY count(*) OVER (PARTITION BY items) >= {_FLOOR})"""
+STEPS["c_text_itemset"] = "SELECT items, count(*) AS freq FROM c_grown GROUP BY items"
 STEPS["c_text_rule"] = _rules_of("c_text_itemset", TEXT_RULES)
 STEPS["c_prediction"] = """
 SELECT b.id, list(DISTINCT r.consequent ORDER BY r.consequent) AS prediction
@@ -507,7 +505,12 @@ SELECT id, "set", {_sorted_text('tokens')} AS tokens, {_sorted_text('labels')} A
        {_sorted_text('tokens || labels')} AS items FROM c_text_basket"""
 _PREDICT = f'SELECT id, "set", {_sorted_text("prediction")} AS prediction FROM c_predicted'
 ORACLES["predict"] = _PREDICT
-ORACLES["predict_joined"] = _PREDICT
+ORACLES["predict_joined"] = "SELECT id, unnest(prediction) AS item FROM c_predicted"
+ORACLES["itemsets"] = f"SELECT {_sorted_text('items')} AS items, freq FROM c_text_itemset"
+ORACLES["rules"] = f"""
+SELECT {_sorted_text('antecedent')} AS antecedent, consequent, round(confidence, 6) AS confidence FROM c_text_rule"""
+ORACLES["label_rules"] = f"""
+SELECT {_sorted_text('antecedent')} AS antecedent, consequent FROM c_text_rule WHERE consequent LIKE 'l:%'"""
 ORACLES["confusion"] = f"""
 SELECT id, "set", {_sorted_text('tp')} AS tp, {_sorted_text('fp')} AS fp, {_sorted_text('fn')} AS fn FROM c_confusion"""
 STEPS["c_score"] = """
@@ -519,17 +522,30 @@ SELECT "set", tp, fp, fn, round(p, 6) AS precision, round(q, 6) AS recall, round
 
 STEPS["c_item"] = """
 SELECT "set", "uniqueID", list_distinct(title || body) AS tokens, list_distinct(domains) AS labels FROM c_sample"""
-ORACLES["transactions"] = f"""
-SELECT "set", count(*) AS posts, sum(len(tokens))::BIGINT AS tokens,
-       sum(len(list_filter(labels, lambda r: r < {DEFAULTS.label_cap})))::BIGINT AS labels FROM c_item GROUP BY "set\""""
+ORACLES["transactions"] = """
+SELECT "set", count(*) AS posts, sum(len(tokens))::BIGINT AS tokens, sum(len(labels))::BIGINT AS labels,
+       sum(coalesce(list_sum(labels), 0))::BIGINT AS label_sum FROM c_item GROUP BY "set\""""
 ORACLES["transaction_lines"] = f"""
-SELECT "set", {_text_of(f'list_filter(globals, lambda r: r < {TAG_RULES.label_cap})')} AS line FROM c_encoded"""
-ORACLES["appearances"] = f"""
+SELECT "set", {_text_of('labels')} AS labels, len(tokens)::BIGINT AS tokens
+FROM (SELECT "set", tokens, list_sort(labels) AS labels FROM c_item)"""
+ORACLES["appearances"] = """
 SELECT "set", 'body' AS role, count(DISTINCT token) AS items, 0::BIGINT AS label_sum
 FROM (SELECT "set", unnest(tokens) AS token FROM c_item) GROUP BY "set"
 UNION ALL
 SELECT "set", 'head', count(DISTINCT label), sum(DISTINCT label)::BIGINT
-FROM (SELECT "set", unnest(labels) AS label FROM c_item) WHERE label < {DEFAULTS.label_cap} GROUP BY "set\""""
+FROM (SELECT "set", unnest(labels) AS label FROM c_item) GROUP BY "set\""""
+
+# Sources and sinks
+
+ORACLES["csv_post_text"] = 'SELECT "uniqueID", title, body, domain FROM c_text'
+ORACLES["csv_post_tags"] = 'SELECT "uniqueID", tags, domain FROM c_tag'
+_LOOKUPS = """
+SELECT 'dictionary' AS source, '' AS domain, token AS name, i::BIGINT AS number FROM c_dictionary
+UNION ALL SELECT 'global_tags', '', tag, r::BIGINT FROM c_global
+UNION ALL SELECT 'domain_tags', domain, tag, r::BIGINT FROM c_domain
+UNION ALL SELECT 'vocabulary', '', term, r::BIGINT FROM c_vocabulary"""
+ORACLES["lookups_parquet"] = _LOOKUPS
+ORACLES["lookups_csv"] = _LOOKUPS
 
 # Checks
 
@@ -543,4 +559,12 @@ FROM (SELECT "uniqueID", field, count(*) AS features FROM c_field_term JOIN c_vo
 JOIN c_token USING ("uniqueID") GROUP BY field"""
 ORACLES["multi_label"] = 'SELECT "set", count(*) FILTER (len(domains) > 1) AS "multiLabel" FROM c_sample GROUP BY "set"'
 
+ORACLES["partition_report"] = f'SELECT {REPORT_PARTS}::BIGINT AS partitions, count(*) AS "rows" FROM c_sample'
+ORACLES["post_by_id"] = f'SELECT "uniqueID", title, domain FROM c_text WHERE "uniqueID" = {LOOKED_UP}'
+_SAMPLED = _draw('"uniqueID"', Options(seed=SAMPLE_SEED))
+ORACLES["post_sample"] = f"""
+SELECT "uniqueID", domain FROM c_text WHERE {_SAMPLED}::DOUBLE / 4294967296::DOUBLE < CAST('{SAMPLE_SHARE!r}' AS DOUBLE)"""
+ORACLES["default_domain"] = """
+SELECT CASE WHEN "uniqueID" % 2 = 0 THEN domain ELSE 'undefined_domain' END AS domain, count(*) AS "rows" FROM c_tag GROUP BY 1"""
+
 ORACLES = {name: _compose(sql.strip()) for name, sql in ORACLES.items()}

@@ -26,23 +26,20 @@ class Prepared:
         return sinks.run_report(self.lookups)
 
 
-def token_statistics(tokens: DataFrame, tag_rows: DataFrame, opts: Options) -> DataFrame:
+def token_statistics(posts: DataFrame, opts: Options) -> DataFrame:
     """Every term once, with the counts the dictionary and the vocabulary need.
 
-    One pass over the text serves both. Terms are counted inside each post, so
-    its distinct terms, not its tokens, meet the tag table; from there on only
-    partially aggregated counts move. The dictionary learns from training posts
-    that have a tag row, the vocabulary from all posts or from those same ones.
-    A term with a blank is an n-gram and has no place in the dictionary. Rare
-    terms, which neither table can use, are dropped before the table is written.
+    ``posts`` are tokens with ``set`` and ``tagged``. Terms are counted inside
+    each post, so only partially aggregated counts move. The dictionary learns
+    from training posts that have a tag row, the vocabulary from all posts or
+    from those same ones. A term with a blank is an n-gram and has no place in
+    the dictionary. Rare terms, which neither table can use, are dropped before
+    the table is written.
     """
-    merged = features.merge_fields(features.merge_ngrams(tokens))
-    counted = count_items(merged.select("uniqueID", "set", "titleBody"), "titleBody").drop("titleBody")
-    tagged = tag_rows.select("uniqueID").distinct().withColumn("_tagged", F.lit(True))
-    learned = (F.col("set") == split.TRAINING) & F.coalesce("_tagged", F.lit(False))
-    terms = counted.join(tagged, "uniqueID", "left").select(
-        learned.alias("learned"), F.inline(F.arrays_zip("_item", "_times")).alias("term", "n")
-    )
+    merged = features.merge_fields(features.merge_ngrams(posts))
+    learned = (F.col("set") == split.TRAINING) & F.col("tagged")
+    counted = count_items(merged.select(learned.alias("learned"), "titleBody"), "titleBody")
+    terms = counted.select("learned", F.inline(F.arrays_zip("_item", "_times")).alias("term", "n"))
     fitted = F.lit(True) if opts.fit_on == "all" else F.col("learned")
     statistics = terms.groupBy("term").agg(
         F.coalesce(F.sum(F.when(F.col("learned"), F.col("n"))), F.lit(0)).alias("tokenCount"),
@@ -54,54 +51,61 @@ def token_statistics(tokens: DataFrame, tag_rows: DataFrame, opts: Options) -> D
     return materialize(useful, "token-statistics")
 
 
-def learn_lookups(tokens: DataFrame, tag_rows: DataFrame, opts: Options) -> dict[str, DataFrame]:
-    """Tag ranks and dictionary from the training posts, vocabulary per ``fit_on``."""
+def rank_tables(tag_rows: DataFrame, opts: Options) -> dict[str, DataFrame]:
+    """Global and domain ranks, from the training posts.
+
+    ``fraction_of_tags`` trims the ranks of each domain only: labels that a
+    domain does not keep still have a global rank, as in the original job.
+    """
     counts = tags.count_tags(split.training_rows(tag_rows))
-    domain_tags = materialize(tags.rank_tags_in_domains(counts), "domain-tags")
+    domain_tags = tags.rank_tags_in_domains(counts)
     if opts.fraction_of_tags < 1:
-        domain_tags = materialize(tags.most_used_fraction(domain_tags, opts.fraction_of_tags), "domain-tags")
-    statistics = token_statistics(tokens, tag_rows, opts)
-    unigrams = statistics.where(~F.col("term").contains(" ")).withColumnRenamed("term", "token")
+        domain_tags = tags.most_used_fraction(materialize(domain_tags, "domain-tags"), opts.fraction_of_tags)
     return {
-        "domain_tags": domain_tags,
+        "domain_tags": materialize(domain_tags, "domain-tags"),
         "global_tags": materialize(tags.rank_tags_globally(counts), "global-tags"),
-        "dictionary": materialize(dictionary.index_tokens(unigrams, opts), "dictionary"),
-        "vocabulary": materialize(features.top_terms(statistics, opts), "vocabulary"),
     }
 
 
 def prepare(text: DataFrame, tag_rows: DataFrame, opts: Options, with_bags: bool = True) -> Prepared:
     """All steps from cleaned posts to sharded samples.
 
-    The text is read twice: once for the statistics, once for the samples. Its
-    hashed form is shuffled once, for the join that both drops posts without a
-    tag row and attaches the labels. The tag rows, needed by five steps, are
-    parsed and written once.
+    The tag rows give ranks and labels without the text. The text is read,
+    tokenised and shuffled once, for the join with its labels, and written; the
+    statistics and the samples are narrow passes over that table. Only bags need
+    one more join by id, of compact hashes with their counted terms.
     """
     text = split.assign_sets(text, opts)
     tag_rows = materialize(split.assign_sets(tag_rows, opts), "tag-rows")
-    tokens = tokenize(text, opts)
-    lookups = learn_lookups(tokens, tag_rows, opts)
+    lookups = rank_tables(tag_rows, opts)
+    encoded = tags.encode_tags(tag_rows, lookups["global_tags"], lookups["domain_tags"], keep_untagged=True)
+    labels = encoded.drop("domain").withColumn("tagged", F.lit(True))
+    posts = tokenize(text, opts).join(labels, "uniqueID", "left")
+    posts = materialize(posts.withColumn("tagged", F.coalesce("tagged", F.lit(False))), "tagged-posts")
 
-    sets = text.select("uniqueID", "domain", "set")
-    tagged_sets = split.with_tag_row(sets, tag_rows)
-    rows = tokens
+    statistics = token_statistics(posts, opts)
+    unigrams = statistics.where(~F.col("term").contains(" ")).withColumnRenamed("term", "token")
+    lookups["dictionary"] = materialize(dictionary.index_tokens(unigrams, opts), "dictionary")
+    lookups["vocabulary"] = materialize(features.top_terms(statistics, opts), "vocabulary")
+
+    tagged = posts.where("tagged")
+    rows = samples.label_samples(hash_fields(tagged, opts))
     if with_bags:
-        fitted = sets if opts.fit_on == "all" else split.training_rows(tagged_sets)
+        fitted = posts if opts.fit_on == "all" else split.training_rows(tagged)
         number = fitted.count() if opts.algorithm == IDF_ALGORITHM else 0
-        rows = features.add_bags(rows, lookups["vocabulary"], opts, number)
-    hashed = hash_fields(rows, opts)
-    encoded = tags.encode_tags(tag_rows, lookups["global_tags"], lookups["domain_tags"], keep_untagged=True)
-    joined = samples.assemble_samples(hashed, encoded, how="inner")
-
-    lookups["shard_counts"] = samples.shard_counts(tagged_sets)
-    sharded = samples.shard_by_hash(joined, lookups["shard_counts"], opts.rows_per_shard)
+        bags = features.bag_table(tagged, lookups["vocabulary"], opts, number)
+        rows = features.fill_bags(samples.attach_features(rows, bags), opts)
+    lookups["shard_counts"] = samples.shard_counts(tagged)
+    sharded = samples.shard_by_hash(rows, lookups["shard_counts"], opts.rows_per_shard)
     return Prepared(sharded, lookups)
 
 
 def run(spark: SparkSession, source: str, output: str, opts: Options) -> Prepared:
     """Read the CSV posts of ``source``, prepare them and write everything to ``output``.
 
+    What is returned reads intermediate tables, which go when the application
+    ends or with :func:`tagweave.sources.tables.clear`.
+
     CSV with quoted line breaks is parsed by one task per file and cannot be
     pruned, so it is turned into a columnar table first.
     """

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +17,7 @@ from tagweave.options import Options
 from tagweave.plans.prepare import Prepared
 from tagweave.plans.prepare import prepare as prepare_posts
 from tagweave.sources import adapters, posts, sinks
-from tagweave.sources.tables import materialize, shared_folder
+from tagweave.sources.tables import materialize, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,8 +26,11 @@ DEFAULTS = Options()
 NORMAL = Options(normalize=True, lower_case=True)
 STEMMED = replace(NORMAL, stem=True)
 # Settings of the mining queries; also read by their SQL counterparts.
-TAG_RULES = Options(support_count=20, min_confidence=0.2)
-TEXT_RULES = Options(min_support=0.017, min_confidence=0.15, vocab_size=60)
+TEXT_RULES = Options(min_support=0.2, min_confidence=0.3, normalize=True, lower_case=True)
+SHARD_ROWS = 100
+SAMPLE_SHARE, SAMPLE_SEED = 0.1, 7
+LOOKED_UP = 77
+REPORT_PARTS = 4
 TAG_FRACTION = 0.5
 LABEL_CAP = 5
 NGRAM = 2
@@ -136,9 +137,10 @@ def documents_assembled(spark, folder):
 
 @query
 def sentences(spark, folder):
-    parts = fn.split_sentences(fn.assemble_document(F.col("body")))
-    found = _text(spark, folder).select("uniqueID", parts.alias("parts"))
-    return found.select("uniqueID", F.size("parts").cast("long").alias("n"), _joined("parts", "|").alias("body"))
+    parts = {f: fn.split_sentences(fn.assemble_document(F.col(f))) for f in tx.FIELDS}
+    found = _text(spark, folder).withColumns(parts)
+    sizes = [F.size(f).cast("long").alias(f"n_{f}") for f in tx.FIELDS]
+    return found.select("uniqueID", *sizes, *[_joined(f, "|").alias(f) for f in tx.FIELDS])
 
 
 @query
@@ -352,7 +354,10 @@ def _dictionary(spark, folder):
 def _decoded(spark, folder, missing):
     known = materialize(_dictionary(spark, folder), "dictionary")
     hashed = tx.hash_fields(_tokens(spark, folder), DEFAULTS)
-    return dictionary.join_tokens(dictionary.decode_tokens(hashed, known, "body", "body", missing), "body")
+    fields = [
+        dictionary.decode_tokens(hashed, known, f, "recovered", missing).withColumn("field", F.lit(f)) for f in tx.FIELDS
+    ]
+    return dictionary.join_tokens(fields[0].unionByName(fields[1]), "recovered")
 
 
 @query
@@ -372,8 +377,10 @@ def decode_missing(spark, folder):
 
 @query
 def decode_compare(spark, folder):
-    recovered = _decoded(spark, folder, "NOTFOUND").withColumnRenamed("body", "recovered")
-    return dictionary.compare_with_original(recovered, _text(spark, folder), ["title"])
+    """Each recovered field next to the same field of the original post."""
+    both = dictionary.compare_with_original(_decoded(spark, folder, "NOTFOUND"), _text(spark, folder), list(tx.FIELDS))
+    original = F.when(F.col("field") == "title", F.col("title")).otherwise(F.col("body"))
+    return both.select("uniqueID", "field", "recovered", original.alias("original"))
 
 
 # Features
@@ -412,8 +419,7 @@ def bag_separate(spark, folder):
 
 
 def _entries(bags: DataFrame, column: str) -> DataFrame:
-    cells = F.posexplode(vector_to_array(column)).alias("rank", "value")
-    return bags.select("uniqueID", cells).where(F.col("value") != 0)
+    return bags.select("uniqueID", F.inline(column).alias("rank", "value"))
 
 
 @query
@@ -474,9 +480,9 @@ def _sample_columns(df: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def _prepared(spark, folder, opts: Options = DEFAULTS) -> Prepared:
+def _prepared(spark, folder, opts: Options = DEFAULTS, with_bags: bool = True) -> Prepared:
     text = posts.clean_text(adapters.post_text(spark, folder))
-    return prepare_posts(text, posts.clean_tags(adapters.post_tags(spark, folder)), opts)
+    return prepare_posts(text, posts.clean_tags(adapters.post_tags(spark, folder)), opts, with_bags)
 
 
 @query
@@ -488,20 +494,21 @@ def assembled_samples(spark, folder):
 def samples_with_features(spark, folder):
     rows = _tokens(spark, folder)
     bags = features.bag_table(rows, *_fit(rows, DEFAULTS))
-    joined = samples.attach_features(_samples(spark, folder), bags)
-    return joined.select("uniqueID", "set", _weight("titleBodyBag").alias("weight"))
+    joined = features.fill_bags(samples.attach_features(_samples(spark, folder), bags), DEFAULTS)
+    cells = joined.select("uniqueID", "set", F.inline_outer("titleBodyBag").alias("rank", "value"))
+    return cells.select("uniqueID", "set", "rank", F.round("value", 6).alias("tfidf"))
 
 
 def _weight(bag: str) -> Column:
-    total = F.aggregate(vector_to_array(bag), F.lit(0.0), lambda a, b: a + b)
-    return F.round(total, 4)
+    return F.round(F.aggregate(bag, F.lit(0.0), lambda a, b: a + b["value"]), 4)
 
 
 @query
 def prepare(spark, folder):
-    """The whole job, with shards and feature vectors."""
-    result = _prepared(spark, folder).samples.withColumn("weight", _weight("titleBodyBag"))
-    return _sample_columns(result, "rng", "weight")
+    """The whole job, with shards and bags."""
+    ranks = _joined(F.transform("titleBodyBag", lambda c: c["rank"]))
+    result = _prepared(spark, folder).samples.withColumns({"weight": _weight("titleBodyBag"), "ranks": ranks})
+    return _sample_columns(result, "rng", "weight", "ranks")
 
 
 @query
@@ -518,7 +525,7 @@ def samples_csv(spark, folder):
 @query
 def partitioned_scan(spark, folder):
     """Write the sample table, read one domain and set of it back."""
-    output = f"{shared_folder(spark)}/tagweave/{spark.sparkContext.applicationId}/output-{uuid.uuid4().hex}"
+    output = new_path(spark, "output")
     text = _text(spark, folder)
     sharded = samples.shard_by_hash(_samples(spark, folder), samples.shard_counts(text), DEFAULTS.rows_per_shard)
     sinks.write_samples(sharded, output, DEFAULTS)
@@ -528,58 +535,31 @@ def partitioned_scan(spark, folder):
 @query
 def shards(spark, folder):
     rows = _tag_table(spark, folder)
-    sharded = samples.shard_by_hash(rows, samples.shard_counts(rows), DEFAULTS.rows_per_shard)
+    sharded = samples.shard_by_hash(rows, samples.shard_counts(rows), SHARD_ROWS)
     return sharded.groupBy("domain", "set", "rng").agg(F.count("*").alias("rows"))
 
 
 @query
 def shards_exact(spark, folder):
-    sharded = samples.shard_exactly(_tags(spark, folder), DEFAULTS.rows_per_shard)
+    sharded = samples.shard_exactly(_tags(spark, folder), SHARD_ROWS)
     return sharded.select("uniqueID", "domain", "set", "rng")
 
 
 @query
 def run_report(spark, folder):
-    return _prepared(spark, folder).report()
+    return _prepared(spark, folder, with_bags=False).report()
 
 
 # Mining
 
 
-def _tag_samples(spark, folder) -> DataFrame:
-    """Tagged posts without text: what rules between labels are mined from."""
-    nothing = F.array().cast("array<bigint>")
-    return _encoded(spark, folder).select(
-        "uniqueID",
-        nothing.alias("title"),
-        nothing.alias("body"),
-        F.col("globalTags").alias("domainSpecificLabels"),
-        split.set_name(F.col("uniqueID"), DEFAULTS).alias("set"),
-    )
+def _mined_samples(spark, folder) -> DataFrame:
+    """The tagged posts, which are what the job's sample table holds, with all tokens and labels."""
+    return samples.assemble_samples(_tokens(spark, folder, TEXT_RULES), _encoded(spark, folder), how="inner")
 
 
-def _tag_baskets(spark, folder) -> DataFrame:
-    return mining.build_baskets(_tag_samples(spark, folder), TAG_RULES)
-
-
-def _text_baskets(spark, folder) -> DataFrame:
-    """Title words of the capped vocabulary, with the labels of the post."""
-    rows = _tokens(spark, folder, NORMAL)
-    words = features.vocabulary_table(_vocabulary(rows, TEXT_RULES))
-    bag = features.bag_long(rows, words, replace(TEXT_RULES, combine=False))
-    known = (
-        bag.where(F.col("field") == "title")
-        .groupBy("uniqueID")
-        .agg(F.sort_array(F.collect_set("rank")).alias("title"))
-    )
-    none = F.array().cast("array<int>")
-    text = (
-        rows.select("uniqueID", "domain", "set")
-        .join(known, "uniqueID", "left")
-        .withColumns({"title": F.coalesce("title", none), "body": none})
-    )
-    assembled = samples.assemble_samples(text, _encoded(spark, folder))
-    return materialize(mining.build_baskets(assembled, TEXT_RULES), "baskets")
+def _baskets(spark, folder) -> DataFrame:
+    return materialize(mining.build_baskets(_mined_samples(spark, folder), TEXT_RULES), "baskets")
 
 
 def _as_text(array: str | Column) -> Column:
@@ -589,20 +569,18 @@ def _as_text(array: str | Column) -> Column:
 
 @query
 def baskets(spark, folder):
-    return _text_baskets(spark, folder).select(
-        "id", "set", *[_as_text(c).alias(c) for c in ("tokens", "labels", "items")]
-    )
+    return _baskets(spark, folder).select("id", "set", *[_as_text(c).alias(c) for c in ("tokens", "labels", "items")])
 
 
 @query
 def itemsets(spark, folder):
-    found = mining.fit_rules(_tag_baskets(spark, folder), TAG_RULES).freqItemsets
+    found = mining.fit_rules(_baskets(spark, folder), TEXT_RULES).itemsets
     return found.select(_as_text("items").alias("items"), "freq")
 
 
 @query
 def rules(spark, folder):
-    found = mining.label_rules(mining.fit_rules(_tag_baskets(spark, folder), TAG_RULES).associationRules)
+    found = mining.fit_rules(_baskets(spark, folder), TEXT_RULES).rules
     return found.select(
         _as_text("antecedent").alias("antecedent"),
         F.explode("consequent").alias("consequent"),
@@ -610,8 +588,14 @@ def rules(spark, folder):
     )
 
 
+@query
+def label_rules(spark, folder):
+    found = mining.label_rules(mining.fit_rules(_baskets(spark, folder), TEXT_RULES).rules)
+    return found.select(_as_text("antecedent").alias("antecedent"), F.explode("consequent").alias("consequent"))
+
+
 def _predicted(spark, folder) -> DataFrame:
-    rows = _text_baskets(spark, folder)
+    rows = _baskets(spark, folder)
     return mining.predict(rows, mining.fit_rules(rows, TEXT_RULES))
 
 
@@ -622,10 +606,8 @@ def predict(spark, folder):
 
 @query
 def predict_joined(spark, folder):
-    rows = _text_baskets(spark, folder)
-    model = mining.fit_rules(rows, TEXT_RULES)
-    found = mining.predict_by_join(rows, model.associationRules, model.freqItemsets)
-    return found.select("id", "set", _as_text("prediction").alias("prediction"))
+    """What is predicted, as rows."""
+    return _predicted(spark, folder).select("id", F.explode("prediction").alias("item"))
 
 
 @query
@@ -643,30 +625,87 @@ def scores(spark, folder):
 
 @query
 def transactions(spark, folder):
-    lines = mining.transaction_lines(mining.signed_items(_samples(spark, folder), DEFAULTS))
+    """Posts, tokens and labels of the exported lines; labels also by their sum."""
+    lines = mining.transaction_lines(mining.signed_items(_samples(spark, folder)))
     items = F.split("line", " ")
-    is_token = lambda i: i.startswith("-")
+    labels = F.transform(F.filter(items, lambda i: i.rlike("^[0-9]")), lambda i: i.cast("long"))
     return lines.groupBy("set").agg(
         F.count("*").alias("posts"),
-        F.sum(F.size(F.filter(items, is_token))).alias("tokens"),
-        F.sum(F.size(F.filter(items, lambda i: i.rlike("^[0-9]")))).alias("labels"),
+        F.sum(F.size(F.filter(items, lambda i: i.startswith("-")))).alias("tokens"),
+        F.sum(F.size(labels)).alias("labels"),
+        F.sum(F.aggregate(labels, F.lit(0).cast("long"), lambda a, b: a + b)).alias("label_sum"),
     )
 
 
 @query
 def transaction_lines(spark, folder):
-    return mining.transaction_lines(mining.signed_items(_tag_samples(spark, folder), TAG_RULES))
+    """Every exported line: its labels as they stand, its tokens by their number."""
+    exported = mining.transaction_lines(mining.signed_items(_samples(spark, folder)))
+    items = F.split("line", " ")
+    return exported.select(
+        "set",
+        _joined(F.filter(items, lambda i: i.rlike("^[0-9]"))).alias("labels"),
+        F.size(F.filter(items, lambda i: i.startswith("-"))).cast("long").alias("tokens"),
+    )
 
 
 @query
 def appearances(spark, folder):
-    roles = mining.item_appearances(mining.signed_items(_samples(spark, folder), DEFAULTS))
+    roles = mining.item_appearances(mining.signed_items(_samples(spark, folder)))
     label = F.when(F.col("role") == "head", F.col("item"))
     return roles.groupBy("set", "role").agg(
         F.count("*").alias("items"), F.coalesce(F.sum(label), F.lit(0)).alias("label_sum")
     )
 
 
+# Sources and sinks, written and read back
+
+
+def _csv_folder(spark, folder) -> str:
+    """The posts and their tags as files of the input dialect."""
+    path = new_path(spark, "csv-posts")
+    text, tag_rows = adapters.post_text(spark, folder), adapters.post_tags(spark, folder)
+    posts.write_posts(text, tag_rows, path)
+    return path
+
+
+@query
+def csv_post_text(spark, folder):
+    return posts.read_post_text(spark, _csv_folder(spark, folder))
+
+
+@query
+def csv_post_tags(spark, folder):
+    return posts.read_post_tags(spark, _csv_folder(spark, folder))
+
+
+def _lookup_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """The dimension tables below each other: table, key, name and number."""
+    none = F.lit("")
+    return (
+        tables["dictionary"].select(F.lit("dictionary").alias("source"), none.alias("domain"), F.col("token").alias("name"), F.col("index").cast("long").alias("number"))
+        .unionByName(tables["global_tags"].select(F.lit("global_tags").alias("source"), none.alias("domain"), F.col("tag").alias("name"), F.col("tagGlobalRank").cast("long").alias("number")))
+        .unionByName(tables["domain_tags"].select(F.lit("domain_tags").alias("source"), "domain", F.col("tag").alias("name"), F.col("tagRankInDomain").cast("long").alias("number")))
+        .unionByName(tables["vocabulary"].select(F.lit("vocabulary").alias("source"), none.alias("domain"), F.col("words").alias("name"), F.col("rank").cast("long").alias("number")))
+    )
+
+
+def _written_lookups(spark, folder, opts: Options) -> DataFrame:
+    path = new_path(spark, "lookups")
+    sinks.write_lookups(_prepared(spark, folder, with_bags=False).lookups, path, opts)
+    return _lookup_rows(posts.read_lookups(spark, path, opts.output_format))
+
+
+@query
+def lookups_parquet(spark, folder):
+    return _written_lookups(spark, folder, DEFAULTS)
+
+
+@query
+def lookups_csv(spark, folder):
+    return _written_lookups(spark, folder, replace(DEFAULTS, output_format="csv"))
+
+
 # Checks
 
 
@@ -697,4 +736,24 @@ def multi_label(spark, folder):
 
 @query
 def partition_report(spark, folder):
-    return quality.partition_sizes(_samples(spark, folder))
+    """A report that no layout changes: partitions and rows after an explicit division."""
+    dealt = _samples(spark, folder).repartition(REPORT_PARTS)
+    return quality.partition_sizes(dealt).agg(F.count("*").alias("partitions"), F.sum("rows").alias("rows"))
+
+
+@query
+def post_by_id(spark, folder):
+    return _text(spark, folder).where(F.col("uniqueID") == LOOKED_UP).select("uniqueID", "title", "domain")
+
+
+@query
+def post_sample(spark, folder):
+    """A sampling operator: each post with the same probability, by its id."""
+    return split.bernoulli_sample(_text(spark, folder), SAMPLE_SHARE, SAMPLE_SEED).select("uniqueID", "domain")
+
+
+@query
+def default_domain(spark, folder):
+    """Tag rows whose domain is missing get the default one."""
+    bare = _tags(spark, folder).withColumn("domain", F.when(F.col("uniqueID") % 2 == 0, F.col("domain")))
+    return tags.tag_sets(bare).groupBy("domain").agg(F.count("*").alias("rows"))

@@ -16,7 +16,7 @@ def post_text(spark: SparkSession, folder: str) -> DataFrame:
     documents = spark.read.parquet(f"{folder}/documents.parquet").select(
         F.col("doc_id").alias("uniqueID"), "text", "lang"
     )
-    return spread(documents, "uniqueID").select(
+    return spread(documents).select(
         "uniqueID",
         F.when(end > 0, F.substring(text, F.lit(1), end - 1)).otherwise(text).alias("title"),
         F.when(end > 0, F.substring(text, end + 1, F.length(text))).otherwise("").alias("body"),
@@ -43,7 +43,7 @@ def post_tags(spark: SparkSession, folder: str) -> DataFrame:
     priorities = read("orders").select(F.col("o_orderkey").alias("uniqueID"), "o_orderpriority")
     pairs = F.sort_array(F.collect_set(F.struct("l_returnflag", "p_brand")))
     return (
-        spread(lines, "uniqueID")
+        spread(lines)
         .join(brands, "l_partkey")
         .groupBy("uniqueID")
         .agg(F.array_join(F.transform(pairs, lambda p: p["p_brand"]), ",").alias("tags"))

@@ -53,12 +53,23 @@ def clean_tags(tags: DataFrame) -> DataFrame:
 def read_post_text(spark: SparkSession, folder: str, dotall: bool = False) -> DataFrame:
     """Posts of ``postText*.csv``: headerless, ``|``-separated, quotes may span lines."""
     raw = _read_csv(spark, f"{folder}/{TEXT_FILES}", TEXT_SCHEMA)
-    return clean_text(spread(raw, "uniqueID"), dotall)
+    return clean_text(spread(raw), dotall)
 
 
 def read_post_tags(spark: SparkSession, folder: str) -> DataFrame:
     raw = _read_csv(spark, f"{folder}/{TAG_FILES}", TAG_SCHEMA)
-    return clean_tags(spread(raw, "uniqueID"))
+    return clean_tags(spread(raw))
+
+
+def write_posts(text: DataFrame, tag_rows: DataFrame, folder: str) -> None:
+    """Both post tables in the input dialect, as folders that the readers' patterns match."""
+    dialect = {k: v for k, v in CSV_DIALECT.items() if k != "multiLine"} | {
+        "quoteAll": True,
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    for df, schema, name in ((text, TEXT_SCHEMA, "postText.csv"), (tag_rows, TAG_SCHEMA, "postTags.csv")):
+        df.select(*schema.names).write.mode("overwrite").options(**dialect).csv(f"{folder}/{name}")
 
 
 def distinct_domains(posts: DataFrame) -> DataFrame:
@@ -80,11 +91,20 @@ def read_samples(
     return samples
 
 
-def read_lookups(spark: SparkSession, output: str) -> dict[str, DataFrame]:
-    """The dimension tables next to the samples."""
+LOOKUPS = {
+    "dictionary": ("dictionary", "hash long, token string, index int"),
+    "global_tags": ("global_tags", "tag string, tagGlobalRank int"),
+    "domain_tags": ("tags/domain_tags", "tag string, tagInDomainCount long, tagRankInDomain int, domain string"),
+    "vocabulary": ("bagWordsDictionary", "words string, rank int"),
+}
+
+
+def read_lookups(spark: SparkSession, output: str, output_format: str = "parquet") -> dict[str, DataFrame]:
+    """The dimension tables next to the samples, in either format they are written in."""
+    if output_format == "parquet":
+        return {name: spark.read.parquet(f"{output}/{path}") for name, (path, _) in LOOKUPS.items()}
+    separators = dict.fromkeys(LOOKUPS, "|") | {"vocabulary": ","}
     return {
-        "dictionary": spark.read.parquet(f"{output}/dictionary"),
-        "global_tags": spark.read.parquet(f"{output}/global_tags"),
-        "domain_tags": spark.read.parquet(f"{output}/tags/domain_tags"),
-        "vocabulary": spark.read.parquet(f"{output}/bagWordsDictionary"),
+        name: spark.read.schema(schema).option("sep", separators[name]).csv(f"{output}/{path}")
+        for name, (path, schema) in LOOKUPS.items()
     }

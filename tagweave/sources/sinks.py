@@ -21,8 +21,9 @@ def write_samples(samples: DataFrame, output: str, opts: Options, summary_metada
     posts is written by many tasks.
     """
     if opts.output_format == "csv":
-        samples = flatten_samples(samples.drop(*[c for c in samples.columns if c.endswith("Bag")]))
+        samples = flatten_samples(samples)
     writer = samples.repartition(*SAMPLE_LAYOUT).write.partitionBy(*SAMPLE_LAYOUT).mode("overwrite")
+    writer = writer.option("maxRecordsPerFile", opts.max_records_per_file)
     if summary_metadata:
         writer = writer.option("parquet.summary.metadata.level", "ALL")
     if opts.output_format == "csv":
@@ -84,9 +85,9 @@ def write_report(report: DataFrame, output: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(f"{output}/metadata")
 
 
-def write_transactions(samples: DataFrame, output: str, opts: Options, single_file: bool = False) -> None:
+def write_transactions(samples: DataFrame, output: str, single_file: bool = False) -> None:
     """Per set, the transactions and the item appearances that rule miners read."""
-    signed = signed_items(samples, opts)
+    signed = signed_items(samples)
     lines = transaction_lines(signed)
     roles = item_appearances(signed).select("set", F.concat_ws(" ", F.col("item").cast("string"), "role").alias("both"))
     for name in SET_NAMES:

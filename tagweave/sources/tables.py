@@ -7,41 +7,60 @@ one (shuffle) without being told.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-_local_folders: dict[str, str] = {}
+_used: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one for local runs only."""
+    """This application's folder for intermediate tables, deleted when it ends.
+
+    It lies in ``spark.checkpoint.dir`` or, where that is unset, in the warehouse,
+    which all executors share as well.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="tagweave-")
-    return _local_folders[app]
+    folder = folder or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{folder}/tagweave/{spark.sparkContext.applicationId}"
+    if path not in _used:
+        _used.add(path)
+        atexit.register(clear, spark, path)
+    return path
+
+
+def clear(spark: SparkSession, path: str | None = None) -> None:
+    """Delete the application's intermediate tables; results that still read them are lost."""
+    path = path or shared_folder(spark)
+    _used.discard(path)
+    context = spark.sparkContext
+    if context._jsc is None:  # stopped: the folder may be expired
+        return
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tagweave/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, label)
     df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Give every core work when the input comes in few splits.
 
     A file without row groups, or a CSV file with quoted line breaks, is read
     by one task. Only inputs that would leave more than half of the cores idle
-    are shuffled; large inputs have more splits than the cluster has cores.
+    are shuffled; large inputs have more splits than the cluster has cores. The
+    key is the whole row, so null ids do not meet, and the number of partitions
+    is left to adaptive execution.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if 2 * df.rdd.getNumPartitions() <= cores else df
+    return df.repartition(F.xxhash64(*df.columns)) if 2 * df.rdd.getNumPartitions() <= cores else df

@@ -97,7 +97,7 @@ def test_whole_job_and_its_outputs(spark, source, tmp_path):
 
     model, scores = mine.mine_domain(spark, output, "hot.example", Options(support_count=10, min_confidence=0.6))
     assert {r["set"] for r in scores.collect()} <= set(SET_NAMES)
-    mine.export_domain(spark, output, "hot.example", OPTS)
+    mine.export_domain(spark, output, "hot.example")
     hot = posts.read_samples(spark, output, "hot.example", "Training")
     assert spark.read.text(f"{output}/training.transactions").count() == hot.count()
     roles = spark.read.option("header", True).csv(f"{output}/training.appearances")
@@ -134,7 +134,10 @@ def test_csv_output(spark, source, tmp_path):
     output = str(tmp_path)
     opts = Options(output_format="csv", vocab_size=20, min_df=5, token_usage_threshold=2)
     prepare.run(spark, source, output, opts)
-    assert spark.read.option("sep", "|").csv(f"{output}/dataset").count() == 233
+    written = spark.read.option("sep", "|").csv(f"{output}/dataset")
+    assert written.count() == 233
+    bags = written.where("_c6 RLIKE '^[0-9]+:[0-9.]+( [0-9]+:[0-9.]+)*$'")  # the bags stay, as text
+    assert bags.count() > 200
     assert len(spark.read.option("sep", "|").csv(f"{output}/dictionary").columns) == 3
     assert len(spark.read.option("sep", "|").csv(f"{output}/global_tags").columns) == 2
     assert len(spark.read.csv(f"{output}/bagWordsDictionary").columns) == 2
@@ -173,6 +176,19 @@ def test_lookup_by_id_sample_and_partition_report(spark):
     assert quality.row_and_id_counts(rows.union(rows.limit(5))).first()["ids"] == 10000
 
 
+def test_a_file_has_no_more_rows_than_asked_for(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id AS uniqueID", "'d' AS domain", "'Test' AS set", "0L AS rng")
+    sinks.write_samples(rows, str(tmp_path), Options(max_records_per_file=30))
+    assert len(posts.read_samples(spark, str(tmp_path)).inputFiles()) == 4
+
+
+def test_tables_are_deleted_on_request(spark):
+    path = tables.new_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    tables.clear(spark, path)
+    assert not os.path.exists(path)
+
+
 def test_tables_go_to_the_named_folder(spark):
     df = tables.materialize(spark.range(3), "check")
     assert spark.conf.get("spark.checkpoint.dir") in df.inputFiles()[0]

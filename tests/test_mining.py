@@ -63,31 +63,29 @@ def brute_force(rows):
     return frequent, rules
 
 
-def test_itemsets_rules_and_both_predictions_against_brute_force(samples):
+def test_itemsets_rules_and_predictions_against_brute_force(samples):
     rows, df = samples
     baskets = mining.build_baskets(df, OPTS)
-    model = mining.fit_rules(baskets, OPTS)
+    mined = mining.fit_rules(baskets, OPTS)
     frequent, rules = brute_force(rows)
-    assert {tuple(sorted(r["items"])): r["freq"] for r in model.freqItemsets.collect()} == frequent
-    found = {(tuple(sorted(r["antecedent"])), r["consequent"][0]): r["confidence"] for r in model.associationRules.collect()}
+    assert {tuple(sorted(r["items"])): r["freq"] for r in mined.itemsets.collect()} == frequent
+    found = {(tuple(sorted(r["antecedent"])), r["consequent"][0]): r["confidence"] for r in mined.rules.collect()}
     assert found == pytest.approx(rules)
-    heads = {r["consequent"][0] for r in mining.label_rules(model.associationRules).collect()}
+    heads = {r["consequent"][0] for r in mining.label_rules(mined.rules).collect()}
     assert heads == {then for _, then in rules if then.startswith("l:")}
     expected = {
         i: {then for (before, then) in rules if set(before) <= tokens and then not in tokens}
         for i, (tokens, _, _) in plain_baskets(rows).items()
     }
-    small = mining.predict(baskets, model)
-    large = mining.predict(baskets, model, limit=1)
-    for predicted in (small, large):
-        assert {r["id"]: set(r["prediction"]) for r in predicted.collect()} == expected
+    predicted = mining.predict(baskets, mined)
+    assert {r["id"]: set(r["prediction"]) for r in predicted.collect()} == expected
 
     totals = {}
     for i, (_, labels, name) in plain_baskets(rows).items():
         guess = {x for x in expected[i] if x.startswith("l:")}
         tp, fp, fn = totals.get(name, (0, 0, 0))
         totals[name] = (tp + len(guess & labels), fp + len(guess - labels), fn + len(labels - guess))
-    for r in mining.micro_scores(mining.confusion(small)).collect():
+    for r in mining.micro_scores(mining.confusion(predicted)).collect():
         tp, fp, fn = totals[r["set"]]
         assert (r["tp"], r["fp"], r["fn"]) == (tp, fp, fn)
         assert r["precision"] == pytest.approx(tp / (tp + fp)) and r["recall"] == pytest.approx(tp / (tp + fn))
@@ -102,15 +100,26 @@ def test_scores_without_predictions_are_null(spark):
 
 def test_signed_items_lines_and_appearances(spark):
     df = spark.createDataFrame([(1, [7, -7], [3], [0, 2, 500], "Training"), (2, [3], [], [2], "Test")], SAMPLES)
-    signed = mining.signed_items(df, Options())
+    signed = mining.signed_items(df)
     lines = {(r["set"], r["line"]) for r in mining.transaction_lines(signed).collect()}
-    assert lines == {("Training", "-7 -3 0 2"), ("Test", "-3 2")}
+    assert lines == {("Training", "-7 -3 0 2 500"), ("Test", "-3 2")}
     roles = {(r["set"], r["item"], r["role"]) for r in mining.item_appearances(signed).collect()}
-    assert ("Training", 0, "head") in roles and ("Training", -7, "body") in roles and len(roles) == 6
+    assert ("Training", 0, "head") in roles and ("Training", -7, "body") in roles and ("Training", 500, "head") in roles and len(roles) == 7
 
 
 def test_support_as_a_share(samples):
     _, df = samples
     baskets = mining.build_baskets(df, OPTS)
-    model = mining.fit_rules(baskets, Options(min_support=0.5, min_confidence=0.5))
-    assert model.freqItemsets.where(F.col("freq") < 50).count() == 0
+    mined = mining.fit_rules(baskets, Options(min_support=0.5, min_confidence=0.5))
+    assert mined.itemsets.where(F.col("freq") < 50).count() == 0
+
+
+def test_a_long_post_is_cut_to_the_items_of_rules(spark):
+    """Only items of antecedents are copied, however many words a post has."""
+    words = [f"w{i}" for i in range(20_000)]
+    rows = [(1, ["t:a", "t:b", *words], "Test"), (2, ["t:b"], "Test"), (3, [], "Test")]
+    baskets = spark.createDataFrame(rows, "id long, tokens array<string>, set string")
+    rules = spark.createDataFrame([(["t:a"], ["l:1"]), (["t:a", "t:b"], ["l:2"])], "antecedent array<string>, consequent array<string>")
+    itemsets = spark.createDataFrame([(["t:a"], 5), (["t:b"], 9)], "items array<string>, freq long")
+    predicted = mining.predict(baskets, mining.Mined(itemsets, rules))
+    assert {r["id"]: sorted(r["prediction"]) for r in predicted.collect()} == {1: ["l:1", "l:2"], 2: [], 3: []}

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tagweave.operators import lookup as lookup_module
 from tagweave.operators import quality, samples, split, tags
+from tagweave.sources import tables
 from tagweave.operators.lookup import heavy_by_count, heavy_by_rank, lookup
 from tagweave.operators.ordering import ordered_index
 from tagweave.options import SET_NAMES, Options
@@ -201,3 +202,24 @@ def test_shards_have_about_the_wanted_size(spark):
 def test_wrong_options_are_refused(wrong):
     with pytest.raises(ValueError):
         Options(**wrong)
+
+
+@pytest.mark.parametrize("hot", ["absent", "y" * 300])
+def test_hot_keys_of_the_facts_spread(spark, monkeypatch, hot):
+    """A hot key that the dimension lacks, or that is very long, does not meet in one partition."""
+    monkeypatch.setattr(lookup_module, "HEAVY_KEYS", 50)
+    facts = spark.range(6000).selectExpr("id", f"CASE WHEN id % 3 < 2 THEN '{hot}' ELSE concat('k', id % 900) END AS key")
+    names = [(f"k{i}", i) for i in range(900)] + ([(hot, 1000)] if hot != "absent" else [])
+    dim = tables.materialize(spark.createDataFrame(names, "key string, rank int"), "dim")
+    old = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = lookup(facts, dim, ["key"], heavy_by_rank("rank"), "id")
+        sizes = [len(p) for p in found.rdd.glom().collect()]
+        rows = {(r["id"], r["rank"]) for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old[0])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[1])
+    assert max(sizes) < 2 * 6000 / len(sizes)
+    assert rows == {(r["id"], dict(names).get(r["key"])) for r in facts.collect()}
