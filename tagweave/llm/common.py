@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,14 @@ def slim(docs: DataFrame, id_col: str, text_col: str, **more: Column) -> DataFra
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def map_batches(df: DataFrame, make: Callable[..., dict], schema: str, **settings: object) -> DataFrame:
     """Apply ``make(batch, **settings) -> {column: values}`` to every Arrow batch of ``df``."""
 
@@ -37,6 +46,18 @@ def map_batches(df: DataFrame, make: Callable[..., dict], schema: str, **setting
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, Arrow batches hold at most ``rows`` rows: for rows with long binary values."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 _ARROW = {
     "long": pa.int64(),
     "int": pa.int32(),

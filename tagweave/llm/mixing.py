@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import WORD, documents
+from tagweave.llm.common import WORD, documents, free_name
 from tagweave.operators.ordering import ordered_index
 from tagweave.sources.tables import materialize
 
@@ -198,12 +198,11 @@ def take(
 ) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken. Rows without words are not taken."""
     plans = _plans(_sized(docs, id_col, text_col, source_col), (1.0,), weights, most)
-    times = F.when(word_count(F.col(text_col)) > 0, _times(F.col("_plans")[0], hash_key(F.col(id_col)))).otherwise(0)
-    return (
-        docs.join(plans, F.col(source_col).cast("string").eqNullSafe(F.col("_of")))
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
-        .select(*docs.columns)
-    )
+    of, plan, copy = (free_name(docs, name) for name in ("of", "plan", "copy"))
+    plans = plans.select(F.col("_of").alias(of), F.col("_plans")[0].alias(plan))
+    times = F.when(word_count(docs[text_col]) > 0, _times(F.col(plan), hash_key(docs[id_col]))).otherwise(0)
+    joined = docs.join(plans, docs[source_col].cast("string").eqNullSafe(F.col(of)))
+    return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(0), times.cast("int")))).drop(of, plan, copy)
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
