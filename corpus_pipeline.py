@@ -12,20 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.llm import chunks, lines, mixing, packing, sketches
-from tagweave.llm.common import documents
+from tagweave.llm.common import documents, free_name
 from tagweave.sources.tables import materialize
 
-ROW = "_pipeline_row"
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a number for each row, and its name; written, so that the numbers hold."""
+    row = free_name(docs, "row")
+    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a number for each row; written, so that the numbers hold."""
-    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
-
-def _without(numbered: DataFrame, dropped: DataFrame) -> DataFrame:
+def _without(numbered: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
     """The rows whose number is not in ``dropped``; those are the fewer, and may be broadcast."""
-    return numbered.join(materialize(dropped, "dropped"), ROW, "left_anti").drop(ROW)
+    return numbered.join(materialize(dropped, "dropped"), row, "left_anti").drop(row)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,20 +35,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, ignoring white space."""
-    numbered = _numbered(docs)
-    judged = chunks.deduplicate(numbered, row_col=ROW)
-    return _without(numbered, judged.where(~F.col("kept")).select(F.col("row").alias(ROW)))
+    numbered, row = _numbered(docs)
+    judged = chunks.deduplicate(numbered, row_col=row)
+    return _without(numbered, row, judged.where(~F.col("kept")).select(F.col("row").alias(row)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similarity, over any number of links, the one with the smallest id."""
-    numbered = _numbered(docs)
-    groups = sketches.near_duplicates(numbered, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
-    grouped = materialize(groups.join(numbered.select(ROW, "doc_id"), ROW), "near-groups")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
-    stays = grouped.groupBy("component_id").agg(F.min_by(ROW, order).alias("stays"), F.count("*").alias("n"))
+    numbered, row = _numbered(docs)
+    groups = sketches.near_duplicates(numbered, id_col=row).select(F.col("doc_id").alias(row), "component_id")
+    grouped = materialize(groups.join(numbered.select(row, "doc_id"), row), "near-groups")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    stays = grouped.groupBy("component_id").agg(F.min_by(row, order).alias("stays"), F.count("*").alias("n"))
     several = materialize(stays.where("n > 1").select("component_id", "stays"), "near-stays")
-    return _without(numbered, grouped.join(several, "component_id").where(F.col(ROW) != F.col("stays")).select(ROW))
+    return _without(numbered, row, grouped.join(several, "component_id").where(F.col(row) != F.col("stays")).select(row))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
