@@ -17,7 +17,7 @@ def post_text(spark: SparkSession, folder: str) -> DataFrame:
     documents = spark.read.parquet(f"{folder}/documents.parquet").select(
         F.col("doc_id").alias("uniqueID"), "text", "lang"
     )
-    return spread(documents).select(
+    return spread(documents, "uniqueID").select(
         "uniqueID",
         F.when(end > 0, F.substring(text, F.lit(1), end - 1)).otherwise(text).alias("title"),
         F.when(end > 0, F.substring(text, end + 1, F.length(text))).otherwise("").alias("body"),
@@ -40,7 +40,7 @@ def post_tags(spark: SparkSession, folder: str) -> DataFrame:
 
     lines = read("lineitem").select(F.col("l_orderkey").alias("uniqueID"), "l_partkey", "l_returnflag")
     brands = read("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    lines = lookup(spread(lines), brands, ["l_partkey"], F.col("l_partkey") <= HEAVY_KEYS, "uniqueID")
+    lines = lookup(spread(lines, "uniqueID"), brands, ["l_partkey"], F.col("l_partkey") <= HEAVY_KEYS, "uniqueID")
     languages = read("documents").select(F.col("doc_id").alias("uniqueID"), "lang")
     priorities = read("orders").select(F.col("o_orderkey").alias("uniqueID"), "o_orderpriority")
     pairs = F.sort_array(F.collect_set(F.struct("l_returnflag", "p_brand")))

@@ -53,14 +53,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Give every core work when the input comes in few splits.
 
     A file without row groups, or a CSV file with quoted line breaks, is read
     by one task. Only inputs that would leave more than half of the cores idle
     are shuffled; large inputs have more splits than the cluster has cores. The
-    key is the whole row, so null ids do not meet, and the number of partitions
-    is left to adaptive execution.
+    key is the whole row, so null ids do not meet, or a column without nulls,
+    which keeps the others prunable. The number of partitions is left to
+    adaptive execution.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(F.xxhash64(*df.columns)) if 2 * df.rdd.getNumPartitions() <= cores else df
+    return df.repartition(F.xxhash64(*([key] if key else df.columns))) if 2 * df.rdd.getNumPartitions() <= cores else df
