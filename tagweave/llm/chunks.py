@@ -18,44 +18,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagweave.llm.common import SPACES, documents, map_batches, slim
+from tagweave.llm.rolling import BLOCK, window_hashes
 from tagweave.sources.tables import materialize
 
 WINDOW = 48
 MASK = 0x1FFF
 SMALLEST, LARGEST = 2_048, 65_536
-BLOCK = 1 << 20
 
 _DROP = SPACES.encode()
-_FACTOR = 0x9E3779B97F4A7C15
-_MODULUS = 1 << 64
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.empty(n, np.uint64)
-    out[:1] = 1
-    out[1:] = base
-    return np.multiply.accumulate(out)
-
-
-_UP = _powers(_FACTOR, BLOCK + WINDOW)
-_DOWN = _powers(pow(_FACTOR, -1, _MODULUS), BLOCK + WINDOW)
-
 
 def _cuts(data: np.ndarray) -> np.ndarray:
-    """Ends of all windows whose hash has the cutting bits, by prefix sums of a polynomial."""
-    found = []
+    """Ends of all windows whose hash has the cutting bits."""
+    found = [np.empty(0, np.int64)]
     for at in range(0, len(data), BLOCK):
-        low = max(0, at - WINDOW + 1)
-        part = data[low : at + BLOCK].astype(np.uint64) + np.uint64(1)
-        sums = np.cumsum(part * _DOWN[: len(part)], dtype=np.uint64)
-        if len(part) < WINDOW:
-            continue
-        windows = sums[WINDOW - 1 :].copy()
-        windows[1:] -= sums[: len(part) - WINDOW]
-        windows *= _UP[WINDOW - 1 : len(part)]
-        hit = np.flatnonzero((windows >> np.uint64(40)) & np.uint64(MASK) == 0)
-        found.append(hit + low + WINDOW)
-    return np.concatenate(found) if found else np.empty(0, np.int64)
+        hashes = window_hashes(data[at : at + BLOCK + WINDOW - 1], WINDOW)
+        found.append(np.flatnonzero(hashes & np.uint64(MASK) == 0) + at + WINDOW)
+    return np.concatenate(found)
 
 
 def chunk_ends(data: bytes) -> list[int]:
@@ -113,12 +91,20 @@ def _chunk_table(docs: DataFrame, id_col: str, text_col: str, row: Column, diges
 
 
 def _collided(chunks: DataFrame) -> DataFrame:
-    """Chunks of digests that stand for several contents, each content with a number of its own."""
-    again = chunks.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    contents = chunks.select("digest", "content").join(again, "digest", "left_semi").distinct()
-    several = contents.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    return contents.join(several, "digest").withColumn(
-        "number", F.row_number().over(Window.partitionBy("digest").orderBy("content"))
+    """Digests that stand for several contents; copies are put together before they are moved."""
+    contents = chunks.select("digest", "content").distinct()
+    several = contents.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
+    return materialize(several.select("digest"), "collided-digests")
+
+
+def _numbers(chunks: DataFrame, collided: DataFrame) -> DataFrame:
+    """Every row's places with such a digest, each with its content's number among the digest's contents."""
+    contents = chunks.join(collided, "digest").select("digest", "content").distinct()
+    numbered = contents.withColumn("number", F.row_number().over(Window.partitionBy("digest").orderBy("content")))
+    return (
+        chunks.join(numbered, ["digest", "content"])
+        .groupBy("row")
+        .agg(F.to_json(F.sort_array(F.collect_list(F.struct("place", "number")))).cast("binary").alias("numbers"))
     )
 
 
@@ -137,15 +123,10 @@ def recipes(
     row = docs[row_col] if row_col else F.monotonically_increasing_id()
     chunks = _chunk_table(docs, id_col, text_col, row, digest)
     texts = chunks.where("place = 0").select("row", "doc_id", "n_chars", "text_sha256", "recipe")
-    collided = materialize(_collided(chunks), "collided-chunks")
+    collided = _collided(chunks)
     if collided.isEmpty():
         return texts
-    numbers = (
-        chunks.join(collided, ["digest", "content"])
-        .groupBy("row")
-        .agg(F.to_json(F.sort_array(F.collect_list(F.struct("place", "number")))).cast("binary").alias("numbers"))
-    )
-    return texts.join(numbers, "row", "left").select(
+    return texts.join(_numbers(chunks, collided), "row", "left").select(
         "row",
         "doc_id",
         "n_chars",
