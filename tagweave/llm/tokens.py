@@ -1,9 +1,9 @@
-"""Token ids by a public tokenizer, with a bounded cache of pieces.
+"""Token ids by a public tokenizer, with a bounded cache.
 
 Byte-level BPE never merges across the pieces its pattern splits a text into, so
 a text's ids are its pieces' ids in a row. Texts of common Latin characters are
-split here and only pieces not seen lately go to the tokenizer; any other text
-goes to it whole. Both ways give the same ids.
+cut here, between pieces, and only what was not seen lately goes to the tokenizer;
+any other text goes to it whole. Both ways give the same ids.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from collections.abc import Sequence
 import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHED_PIECES = 400_000
-WORDS_AT_ONCE = 200
+CACHED_CHUNKS = 500_000
 
 # Characters whose class no Unicode version changed.
 _UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
@@ -51,42 +50,51 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self._tokenizer.encode_special_tokens = True
-        self._known: dict[str, bytes] = {}
+        self._known: dict[str, bytes] = {"": b""}
+        self._once: set[str] = set()
         (self._line_end,) = np.frombuffer(self.direct(["\n"])[0], "<u4")
 
     def direct(self, texts: Sequence[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _make_room(self) -> None:
+        """When there are too many, forget what was met in one text only; that is most of it."""
+        if len(self._known) > CACHED_CHUNKS:
+            if len(self._once) < CACHED_CHUNKS // 3:
+                self._known = {"": b""}
+            else:
+                for chunk in self._once:
+                    del self._known[chunk]
+            self._once = set()
+
     def _learn(self, chunks: set[str]) -> None:
-        """Encode what was never seen: split into pieces, and many words in one call, apart by line ends."""
+        """Encode what was not seen lately: many chunks in one call, apart by line ends."""
         known = self._known
-        if len(known) > CACHED_PIECES:
-            known.clear()
-        split = {c: _PIECE.findall(c) for c in chunks if c not in known}
-        new = {p for pieces in split.values() for p in pieces if p not in known}
-        words = [p for p in new if not p[-1].isspace()]
-        for i in range(0, len(words), WORDS_AT_ONCE):
-            some = words[i : i + WORDS_AT_ONCE]
+        some = [c for c in chunks if not c.isspace()]
+        if some:
             (joined,) = self.direct(["\n".join(some)])
-            at = [-1, *np.flatnonzero(np.frombuffer(joined, "<u4") == self._line_end).tolist(), len(joined) // 4]
-            known.update((w, joined[4 * at[k] + 4 : 4 * at[k + 1]]) for k, w in enumerate(some))
-        white = [p for p in new if p[-1].isspace()]
+            ends = (np.flatnonzero(np.frombuffer(joined, "<u4") == self._line_end) * 4).tolist()
+            starts = [0, *(e + 4 for e in ends)]
+            known.update((c, joined[a:b]) for c, a, b in zip(some, starts, [*ends, len(joined)], strict=True))
+        white = [c for c in chunks if c.isspace()]
         known.update(zip(white, self.direct(white), strict=True))
-        known.update((c, b"".join(map(known.__getitem__, pieces))) for c, pieces in split.items())
 
     def encode(self, text: str) -> bytes:
         if _UNUSUAL.search(text):
             return self.direct([text])[0]
         if any(x in text for x in _WHITE_RUNS):
-            pieces = _PIECE.findall(text)
+            chunks = _PIECE.findall(text)
         else:  # every single space begins a piece, and every single line end is one
-            pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        try:
-            return b"".join(map(self._known.__getitem__, pieces))
-        except KeyError:
-            self._learn(set(pieces))
-            return b"".join(map(self._known.__getitem__, pieces))
+            chunks = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        self._make_room()
+        met = set(chunks)
+        self._once -= met
+        new = met.difference(self._known)
+        if new:
+            self._learn(new)
+            self._once |= new
+        return b"".join(map(self._known.__getitem__, chunks))
 
 
 def encoder(name: str) -> Encoder:
