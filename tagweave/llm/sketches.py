@@ -26,16 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import documents, map_batches, slim, to_batch
+from tagweave.llm.common import documents, map_batches, slim, small_batches, to_batch
 from tagweave.llm.graph import components
 from tagweave.sources.tables import materialize
 
 SHINGLE = 5
 PERCENT = 75
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 ENTRIES_PER_BUCKET = 1_000_000
 SEEDS = 4
 GROUP_PIECE = 2_000
+PAIRS_AT_ONCE = 256
+ROWS_AT_ONCE = 64
+ENTRIES_AT_ONCE = 500_000
 
 _U = np.uint64
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15 + 0x3C6EF372FE94F82A * i | 1 for i in range(SHINGLE)], dtype=object)
@@ -161,24 +164,33 @@ def _sets(batch: pa.RecordBatch) -> dict:
     return {"doc_id": batch.column("doc_id")} | out
 
 
+def _some_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, np.ndarray]]:
+    sets: dict[int, np.ndarray] = {}
+    held = 0
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            found = shingles(text)
+            if len(found) and (cls := class_of(found)) not in sets:
+                sets[cls] = signatures(found)
+                held += len(sets[cls])
+        if held >= ENTRIES_AT_ONCE:
+            yield sets
+            sets, held = {}, 0
+    if sets:
+        yield sets
+
+
 _FILED = "deal int, bucket int, classes binary, tags binary, owners binary"
 
 
 def _file(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """One row per bucket and batch with the signatures that fall into it.
+    """Rows with the signatures of about ``ENTRIES_AT_ONCE``, one row per bucket they fall into.
 
-    A signature that several sets of a batch share is known to be shared: all of
-    them go out as found (bucket -1), and one goes on to be met by other batches.
+    A signature that several sets share here is known to be shared: all of them
+    go out as found (bucket -1), and one goes on to be met by others.
     """
     turn = 0
-    for batch in batches:
-        sets: dict[int, np.ndarray] = {}
-        for text in batch.column("text").to_pylist():
-            found = shingles(text)
-            if len(found) and (cls := class_of(found)) not in sets:
-                sets[cls] = signatures(found)
-        if not sets:
-            continue
+    for sets in _some_sets(batches):
         classes = np.fromiter(sets, np.int64, len(sets))
         keys = np.concatenate(list(sets.values()))
         owners = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(k) for k in sets.values()])
@@ -298,11 +310,12 @@ def _verify(pairs: DataFrame, rows: DataFrame, members: DataFrame) -> DataFrame:
     )
     texts = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi").select("text")
     sets = map_batches(texts, _set_rows, "cls long, shingles binary").where("cls IS NOT NULL").dropDuplicates(["cls"])
-    sets = materialize(sets, "sketch-sets")
+    with small_batches(rows.sparkSession, PAIRS_AT_ONCE):
+        sets = materialize(sets, "sketch-sets")
     of = lambda side: sets.select(F.col("cls").alias(side), F.col("shingles").alias(f"set_{side}"))
-    return materialize(
-        map_batches(pairs.join(of("a"), "a").join(of("b"), "b"), _verify_rows, "a long, b long"), "sketch-links"
-    )
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    with small_batches(rows.sparkSession, PAIRS_AT_ONCE):
+        return materialize(map_batches(both, _verify_rows, "a long, b long"), "sketch-links")
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,8 +352,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _unsettled(shared: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Screened pairs of blocks whose sets lie in several components.
+def _unsettled(led: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Screened pairs of blocks whose sets, besides the leader, lie in several components.
 
     A block of more than ``GROUP_PIECE`` sets is dealt into parts, and every two
     parts meet in a task of their own, so no task's memory grows with a block.
@@ -348,7 +361,7 @@ def _unsettled(shared: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFr
     known = nodes.join(groups, F.col("cls") == F.col("node"), "left").select(
         "cls", "n", "sketch", F.coalesce("component", "cls").alias("component")
     )
-    rows = materialize(shared.join(known.select("cls", "component"), "cls"), "sketch-blocks")
+    rows = materialize(led.join(known.select("cls", "component"), "cls"), "sketch-blocks")
     open_blocks = materialize(
         rows.groupBy("tag")
         .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size"))
@@ -378,16 +391,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = 1 + int(0.7 * total) // ENTRIES_PER_BUCKET
     filed = rows.select("text").mapInArrow(lambda batches: _file(batches, buckets), _FILED)
     shared = filed.repartition("deal").sortWithinPartitions("bucket").mapInArrow(_meet, _SHARED)
-    shared = materialize(shared.distinct(), "sketch-shared")
+    with small_batches(docs.sparkSession, ROWS_AT_ONCE):  # filed rows are long
+        shared = materialize(shared.distinct(), "sketch-shared")
+    degrees = materialize(shared.groupBy("cls").agg(F.count("*").alias("degree")), "sketch-degrees")
     nodes = materialize(
-        members.join(shared.select("cls").distinct(), "cls", "left_semi").select("cls", "n", "sketch").dropDuplicates(["cls"]),
-        "sketch-nodes",
+        members.join(degrees.select("cls"), "cls", "left_semi").select("cls", "n", "sketch").dropDuplicates(["cls"]), "sketch-nodes"
     )
-    leaders = materialize(shared.groupBy("tag").agg(F.min("cls").alias("a")), "sketch-leaders")
-    stars = shared.join(leaders, "tag").where("a != cls").select("a", F.col("cls").alias("b")).distinct()
+    # The original of many copies shares most blocks, so it leads all of them.
+    first = F.max_by("cls", F.struct("degree", "cls"))
+    leaders = materialize(shared.join(degrees, "cls").groupBy("tag").agg(first.alias("a")), "sketch-leaders")
+    led = materialize(shared.join(leaders, "tag").where("a != cls"), "sketch-led")
+    stars = led.select("a", F.col("cls").alias("b")).distinct()
     links = _verify(materialize(_screen(stars, nodes), "sketch-pairs"), rows, members)
     groups = components(links)
-    more = materialize(_unsettled(shared, nodes, groups), "sketch-pairs")
+    more = materialize(_unsettled(led.select("tag", "cls"), nodes, groups), "sketch-pairs")
     if not more.isEmpty():
         groups = components(links.unionByName(_verify(more, rows, members)))
     placed = members.join(groups, F.col("cls") == F.col("node"), "left").select(
