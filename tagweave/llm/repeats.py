@@ -28,7 +28,7 @@ from tagweave.sources.tables import materialize
 WIDTH = 400
 ANCHOR = 100
 BEFORE = WIDTH - ANCHOR
-LARGEST_GROUP = 20_000
+LARGEST_GROUP = 200_000
 CELLS_AT_ONCE = 2_000_000
 
 _PLACE_BITS = np.uint64(24)
