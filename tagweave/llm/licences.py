@@ -2,8 +2,9 @@
 
 Signatures are regular expressions over the lower-cased text, several hundred in
 all: a table of licence names, each in every phrasing a notice uses, besides a
-few passages of licence texts. One pass of a keyword automaton tells which rules
-can match; only those run. A hit inside a hit of higher priority, or of the same
+few passages of licence texts. One pass of a keyword automaton tells which single
+words stand in the text, however they are spaced, and so which rules can match;
+only those run. A hit inside a hit of higher priority, or of the same
 priority and longer, is dropped.
 """
 
@@ -27,9 +28,10 @@ _BASE = (
 )
 _BASE_GATE = b"license"
 
-# Identifier, a word that any notice of the licence holds, and its name.
+# Identifier, words that any notice of the licence holds (all of them, of one
+# alternative), and its name.
 _NAMES = (
-    ("mit", "mit", r"(?:the )?(?:mit|expat|x11)"),
+    ("mit", "mit|expat|x11", r"(?:the )?(?:mit|expat|x11)"),
     ("mit-0", "attribution", r"mit no attribution"),
     ("apache-1.1", "apache", r"apache(?: software)? license,? ?(?:version |v)?1\.1"),
     ("apache-2.0", "apache", r"apache(?: software)? license,? ?(?:version |v)?2(?:\.0)?"),
@@ -38,8 +40,8 @@ _NAMES = (
     ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|bsd[ -]3[ -]clause|three[ -]clause bsd)"),
     ("bsd-4-clause", "bsd", r"(?:original bsd|bsd[ -]4[ -]clause|four[ -]clause bsd)"),
     ("0bsd", "bsd", r"(?:zero[ -]clause bsd|0bsd)"),
-    ("bsd", "bsd", r"(?:berkeley |bsd)"),
-    ("gpl-1.0", "general public", r"(?:gnu )?(?:general public license|gpl),? ?(?:version |v)?1(?:\.0)?"),
+    ("bsd", "bsd|berkeley", r"(?:berkeley|bsd)"),
+    ("gpl-1.0", "general public|gpl", r"(?:gnu )?(?:general public license|gpl),? ?(?:version |v)?1(?:\.0)?"),
     ("gpl-2.0", "general public", r"(?:gnu )?general public license,? ?(?:version |v)?2(?:\.0)?"),
     ("gpl-3.0", "general public", r"(?:gnu )?general public license,? ?(?:version |v)?3(?:\.0)?"),
     ("gpl", "general public", r"(?:gnu )?general public"),
@@ -102,7 +104,7 @@ _NAMES = (
     ("afl-3.0", "academic", r"academic free"),
     ("osl-3.0", "open software", r"open software"),
     ("json", "json", r"json"),
-    ("beerware", "beerware", r"beer ?ware"),
+    ("beerware", "beer ware", r"beer ?ware"),
 )
 # Phrasings, by falling priority: what stands around a name, and a score.
 _PHRASINGS = (
@@ -115,7 +117,7 @@ _PHRASINGS = (
 # Passages that only one licence's text has.
 _PASSAGES = (
     ("mit", "hereby granted", r"permission is hereby granted, free of charge, to any person obtaining a copy"),
-    ("isc", "hereby granted", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose"),
+    ("isc", "permission distribute purpose", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose"),
     ("bsd", "redistribution", r"redistributions? (?:and use )?(?:in|of) source (?:and binary forms|code)"),
     ("zlib", "warranty", r"this software is provided 'as-is', without any express or implied warranty"),
     ("unlicense", "public domain", r"this is free and unencumbered software released into the public domain"),
@@ -163,17 +165,18 @@ def build_rules() -> tuple[Rule, ...]:
 
 @lru_cache(maxsize=1)
 def _machine():
-    """The rules and an automaton over their keywords."""
+    """The rules, the sets of words of which one must be there for some rules, and an automaton over the words."""
     import ahocorasick
 
     rules, by_keyword = build_rules(), {}
     for i, rule in enumerate(rules):
         by_keyword.setdefault(rule.keyword, []).append(i)
+    gates = [([frozenset(words.split()) for words in keyword.split("|")], numbers) for keyword, numbers in by_keyword.items()]
     automaton = ahocorasick.Automaton()
-    for keyword, numbers in by_keyword.items():
-        automaton.add_word(keyword, numbers)
+    for word in {word for sets, _ in gates for words in sets for word in words}:
+        automaton.add_word(word, word)
     automaton.make_automaton()
-    return rules, automaton
+    return rules, gates, automaton
 
 
 def suppress(hits: Iterable[Hit]) -> list[Hit]:
@@ -187,8 +190,9 @@ def suppress(hits: Iterable[Hit]) -> list[Hit]:
 
 def scan(lowered: str) -> list[Hit]:
     """The hits that remain in a text whose A-Z are lower-cased."""
-    rules, automaton = _machine()
-    wanted = sorted({i for _, numbers in automaton.iter(lowered) for i in numbers})
+    rules, gates, automaton = _machine()
+    there = {word for _, word in automaton.iter(lowered)}
+    wanted = sorted(i for sets, numbers in gates if any(words <= there for words in sets) for i in numbers)
     hits: list[Hit] = []
     for rule in (rules[i] for i in wanted):
         hits += [Hit(rule.label, *m.span(), rule.priority, rule.score) for m in rule.pattern.finditer(lowered)]

@@ -116,6 +116,53 @@ def test_rules_are_ordered_and_contained_hits_go():
     assert licences.suppress([a, b]) == [a, b] and licences.suppress([a, licences.Hit("c", 1, 9, 1, 0.5)]) == [a]
 
 
+def spellings(pattern, blank):
+    """Texts that a rule's pattern matches: each alternative and option once, white space as ``blank``."""
+    from re import _parser as parser
+
+    def of(items):
+        texts = [""]
+        for kind, value in items:
+            name = str(kind)
+            if name == "LITERAL":
+                parts = [chr(value)]
+            elif name == "IN":
+                parts = [blank if str(k) == "CATEGORY" else chr(v) for k, v in value]
+            elif name == "BRANCH":
+                parts = [x for branch in value[1] for x in of(branch)]
+            elif name == "SUBPATTERN":
+                parts = of(value[-1])
+            elif name == "MAX_REPEAT":
+                parts = [""] * (value[0] == 0) + of(value[2])
+            else:
+                assert name in ("AT", "ASSERT_NOT"), name
+                parts = [""]
+            texts = [texts[i % len(texts)] + parts[i % len(parts)] for i in range(max(len(texts), len(parts)))]
+        return texts
+
+    return of(parser.parse(pattern.pattern))
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "  ", "\r\n"])
+def test_the_gate_lets_every_match_through(blank):
+    rules = licences.build_rules()
+    assert len(rules) == 378
+    for rule in rules:
+        for text in spellings(rule.pattern, blank):
+            assert rule.pattern.search(text), (rule.label, text)
+            hits = [licences.Hit(r.label, *m.span(), r.priority, r.score) for r in rules for m in r.pattern.finditer(text)]
+            assert licences.scan(text) == licences.suppress(hits), (rule.label, text)
+
+
+def test_wrapped_notices_are_found():
+    labels = lambda t: {h.label for h in licences.scan(t)}
+    assert labels("licensed under the gnu general\npublic license, version 2") == {"gpl-2.0"}
+    assert labels("under the gpl version 1 license") == {"gpl-1.0"}
+    assert labels("the berkeley license") == {"bsd"}
+    assert labels("expat license") == {"mit"} and labels("beer ware license") == {"beerware"}
+    assert labels("permission to use, copy,\n modify, and distribute this software for any purpose") == {"isc"}
+
+
 def test_secrets_agree_with_the_patterns_and_are_scanned_once(spark, tmp_path):
     rows = rows_of(spark)
     book = ledger.Ledger(spark, str(tmp_path))
