@@ -177,6 +177,33 @@ def test_secrets_agree_with_the_patterns_and_are_scanned_once(spark, tmp_path):
     assert book.findings().where("rules = 2").count() == len({t or "" for _, t, *_ in rows[:5]})
 
 
+def test_a_ledger_opened_anew_knows_earlier_runs(spark, tmp_path):
+    path = str(tmp_path / "book")
+    first = [(1, "token=abcdefg", None), (2, "token=gone1234", None), (3, "nothing", None)]
+    ledger.Ledger(spark, path).scan(table(spark, first))
+    lost = tmp_path / "book" / "run-lost"  # a run that was not completed
+    lost.mkdir()
+    (lost / "part-0.parquet").write_bytes(b"cut off")
+    book = ledger.Ledger(spark, path)
+    assert book.findings().count() == 3
+    second = [(4, "token=abcdefg", None), (5, "nothing", None), (6, "token=fresh123", None), (6, "token=fresh123", None)]
+    found = book.scan(table(spark, second)).collect()
+    assert ordered((r.doc_id, r.spans) for r in found) == ordered((i, joined(secret_spans(t))) for i, t, _ in second)
+    runs = [spark.read.parquet(run).count() for run in book.runs()]
+    assert sorted(runs) == [1, 3] and ledger.Ledger(spark, path).findings().count() == 4
+    assert ledger.Ledger(spark, path).findings().where("spans = 'assign:0:14'").count() == 2
+
+
+def test_the_ledger_query_scans_in_two_runs(spark, monkeypatch):
+    books = []
+    monkeypatch.setattr(ledger, "Ledger", lambda *a, make=ledger.Ledger: books.append(make(*a)) or books[-1])
+    rows = stored(spark)
+    found = ledger.op10_blob_ledger(spark, FOLDER).collect()
+    assert ordered((r.doc_id, r.spans != "") for r in found if secret_spans(dict((x[0], x[1]) for x in rows)[r.doc_id])) == ordered((d, True) for d, t, _ in rows if secret_spans(t))
+    assert len(found) == len(rows) and len(books) == 2 and len(books[1].runs()) == 2
+    assert books[0].findings().count() == len({t for _, t, _ in rows})
+
+
 def test_quality_counts_agree(spark):
     rows = rows_of(spark)
     found = lines.judge_documents(table(spark, rows), lines.ALL_CONTENT).collect()
