@@ -3,7 +3,8 @@
 Byte-level BPE never merges across the pieces its pattern splits a text into, so
 a text's ids are its pieces' ids in a row. Texts of common Latin characters are
 cut here, between pieces, and only what was not seen lately goes to the tokenizer;
-any other text goes to it whole. Both ways give the same ids.
+any other text, and any that holds an added token, goes to it whole. Both ways
+give the same ids.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def tokenizer_path(name: str) -> str:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    Strings of special tokens inside a text are ordinary text.
+    As the library does by default, the content of an added token inside a text,
+    special or not, is that token's id.
     """
 
     def __init__(self, name: str) -> None:
@@ -49,7 +51,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path(name))
-        self._tokenizer.encode_special_tokens = True
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._known: dict[str, bytes] = {"": b""}
         self._once: set[str] = set()
         (self._line_end,) = np.frombuffer(self.direct(["\n"])[0], "<u4")
@@ -81,7 +83,7 @@ class Encoder:
         known.update(zip(white, self.direct(white), strict=True))
 
     def encode(self, text: str) -> bytes:
-        if _UNUSUAL.search(text):
+        if _UNUSUAL.search(text) or any(x in text for x in self._added):
             return self.direct([text])[0]
         if any(x in text for x in _WHITE_RUNS):
             chunks = _PIECE.findall(text)

@@ -38,6 +38,17 @@ def test_encoding_of_white_space_and_marks(text):
     assert e.encode(text) == e.direct([text])[0] and e.encode(text) == e.encode(text)
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a b <|endoftext|> c", "a<|endoftext|>\nb", "日<|endoftext|>", prose(2, 50) + "<|endoftext|>"])
+def test_an_added_token_in_a_text_is_its_id(text):
+    from tokenizers import Tokenizer
+
+    from tagweave.llm.tokens import tokenizer_path
+
+    library = Tokenizer.from_file(tokenizer_path(TOKENIZER)).encode(text, add_special_tokens=False).ids
+    assert library.count(50256) == 1
+    assert np.frombuffer(encoder(TOKENIZER).encode(text), "<u4").tolist() == library
+
+
 def expected_files(rows):
     out, start = [], 0
     for doc_id, text, *_ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
