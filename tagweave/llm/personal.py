@@ -119,11 +119,14 @@ _OPEN, _CLOSE = r"[\[({<]\x20*", r"\x20*[\])}>]"
 _IN_BRACKETS = re.compile(rf"(?i)\x20*{_OPEN}(at|dot|@|\.){_CLOSE}\x20*")
 # Endings that make a spelled-out domain credible.
 _ENDINGS = "com|org|net|edu|gov|int|info|io|co|biz|dev|app|eu|uk|de|fr|es|it|nl|ch|at|us|example|test"
+# Dotted words that no address follows are passed over whole, or each would be tried again.
 _SPELLED = re.compile(
-    rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:\x20+at\x20+|@)[A-Za-z0-9-]+"
-    rf"(?:\x20+dot\x20+[A-Za-z0-9-]+){{0,3}}(?:\x20+dot\x20+|\.)(?:{_ENDINGS})(?![A-Za-z0-9-])"
+    rf"(?i)(?<![A-Za-z0-9._%+-])(?:([A-Za-z0-9._%+-]++(?:\x20+dot\x20+[A-Za-z0-9._%+-]++)*+)(\x20+at\x20+|@)([A-Za-z0-9-]+"
+    rf"(?:\x20+dot\x20+[A-Za-z0-9-]+)*(?:\x20+dot\x20+|\.)(?:{_ENDINGS}))(?![A-Za-z0-9-])"
+    rf"|[A-Za-z0-9._%+-]++(?:\x20+dot\x20+[A-Za-z0-9._%+-]++)++)"
 )
-_AT_WORD, _DOT_WORD = re.compile(r"(?i)\x20+at\x20+"), re.compile(r"(?i)\x20+dot\x20+")
+_DOT_WORD = re.compile(r"(?i)\x20+dot\x20+")
+_SPELLED_IP = re.compile(r"(?i)(?<![A-Za-z0-9])[0-9]+(?:(?:\x20+dot\x20+|\.)[0-9]+){3}(?![A-Za-z0-9])")
 # The digits' names.
 _NAMES = dict(zip("zero one two three four five six seven eight nine oh".split(), "01234567890", strict=True))
 _NAME = "|".join(_NAMES)
@@ -135,12 +138,10 @@ _TO_DIGITS = str.maketrans("OoIl", "0011")
 
 
 def _say_mail(m: re.Match) -> str:
-    """The address in signs, if ``at`` and every ``dot`` are words; plain prose keeps its words."""
-    words = m[0]
-    spelled_at, spelled_dot = _AT_WORD.search(words), _DOT_WORD.search(words)
-    if spelled_at and not spelled_dot:
-        return words
-    return _DOT_WORD.sub(".", _AT_WORD.sub("@", words, count=1))
+    """The address in signs, if ``at`` and a ``dot`` are words; plain prose keeps its words."""
+    if m[2] is None or m[2] != "@" and not _DOT_WORD.search(m[0]):
+        return m[0]
+    return f"{_DOT_WORD.sub('.', m[1])}@{_DOT_WORD.sub('.', m[3])}"
 
 
 def _say_digits(m: re.Match) -> str:
@@ -158,6 +159,7 @@ def normalise(text: str) -> Tape:
         tape.rewrite(_ODD, lambda m: _LOOKALIKE[m[0]])
     tape.rewrite(_IN_BRACKETS, lambda m: {"at": "@", "dot": "."}.get(m[1].lower(), m[1]))
     tape.rewrite(_SPELLED, _say_mail)
+    tape.rewrite(_SPELLED_IP, lambda m: _DOT_WORD.sub(".", m[0]))
     tape.rewrite(_SPELLED_RUN, _say_digits)
     tape.rewrite(_MIXED, lambda m: m[0].translate(_TO_DIGITS))
     return tape

@@ -85,6 +85,21 @@ def test_disguises_are_found_at_their_source(text, kind, part):
     assert personal.mask(text, spans) == text.replace(part, f"<{kind}>")
 
 
+@pytest.mark.parametrize(
+    "text,kind,part",
+    [
+        ("to john dot smith at example dot com now", "email", "john dot smith at example dot com"),
+        ("(x at a dot b dot c dot d dot e dot com)", "email", "x at a dot b dot c dot d dot e dot com"),
+        ("a dot at at mail dot example dot org", "email", "a dot at at mail dot example dot org"),
+        ("host 192 dot 168 dot 1 dot 10 up", "ip", "192 dot 168 dot 1 dot 10"),
+        ("host 10.0 DOT 0  dot  7", "ip", "10.0 DOT 0  dot  7"),
+    ],
+)
+def test_spelled_dots_are_found_wherever_they_stand(text, kind, part):
+    test_disguises_are_found_at_their_source(text, kind, part)
+    assert personal.hidden("192 dot 300 dot 1 dot 10", []) == []
+
+
 @pytest.mark.parametrize("text", ["look at the dot on it", "meet at noon. dot com", "one two three four", prose(3, 300), "a (at) b", "at dot com"])
 def test_plain_prose_hides_nothing(text):
     assert personal.hidden(text, personal.detect(text)) == []
