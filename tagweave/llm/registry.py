@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagweave.llm.chunks import OP6_SQL, op6_chunk_recipes
 from tagweave.llm.ledger import op10_blob_ledger
+from tagweave.llm.lexical import OP13_SQL, op13_best_positions
 from tagweave.llm.licences import op7_licence_rules
 from tagweave.llm.lines import op2_line_labels
 from tagweave.llm.mixing import OP1_SQL, op1_mixing
@@ -28,6 +29,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_induced_suffixes": op8_induced_suffixes,
     "op9_bounded_packing": op9_bounded_packing,
     "op10_blob_ledger": op10_blob_ledger,
+    "op13_best_positions": op13_best_positions,
 }
 
-ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_parity_sketches": OP4_SQL, "op6_chunk_recipes": OP6_SQL}
+ORACLES: dict[str, str] = {
+    "op1_mixing": OP1_SQL,
+    "op4_parity_sketches": OP4_SQL,
+    "op6_chunk_recipes": OP6_SQL,
+    "op13_best_positions": OP13_SQL,
+}
