@@ -13,6 +13,7 @@ from tagweave.llm.licences import op7_licence_rules
 from tagweave.llm.lines import op2_line_labels
 from tagweave.llm.mixing import OP1_SQL, op1_mixing
 from tagweave.llm.packing import op9_bounded_packing
+from tagweave.llm.pair_counts import op12_spill_counted_pairs
 from tagweave.llm.personal import op3_deobfuscated_pii
 from tagweave.llm.repeats import op8_induced_suffixes
 from tagweave.llm.sketches import OP4_SQL, op4_parity_sketches
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_induced_suffixes": op8_induced_suffixes,
     "op9_bounded_packing": op9_bounded_packing,
     "op10_blob_ledger": op10_blob_ledger,
+    "op12_spill_counted_pairs": op12_spill_counted_pairs,
     "op13_best_positions": op13_best_positions,
 }
 
