@@ -286,7 +286,7 @@ def align_documents(
     counts = count_pairs(directories, fan_in)
     lanes = max(1, -(-runs.where("radix = -1").count() // fan_in))
     lane = F.pmod(F.xxhash64("run"), F.lit(lanes)).alias("lane")
-    back = counts.select("radix", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).cast("long").alias("lane"), "frames")
+    back = counts.select("radix", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("lane"), "frames")
     asked = directories.select("radix", lane, "run", "frames")
     replies = asked.groupBy("radix", "lane").cogroup(back.groupBy("radix", "lane")).applyInArrow(_reply, "run long, radix int, frames array<binary>")
     replies = materialize(replies, "pair-replies")
