@@ -18,6 +18,7 @@ from tagweave.llm.personal import op3_deobfuscated_pii
 from tagweave.llm.repeats import op8_induced_suffixes
 from tagweave.llm.sketches import OP4_SQL, op4_parity_sketches
 from tagweave.llm.tokenfiles import op5_orc_tokens
+from tagweave.llm.vectors import OP11_SQL, op11_cross_polytope
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_induced_suffixes": op8_induced_suffixes,
     "op9_bounded_packing": op9_bounded_packing,
     "op10_blob_ledger": op10_blob_ledger,
+    "op11_cross_polytope": op11_cross_polytope,
     "op12_spill_counted_pairs": op12_spill_counted_pairs,
     "op13_best_positions": op13_best_positions,
 }
@@ -38,5 +40,6 @@ ORACLES: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op4_parity_sketches": OP4_SQL,
     "op6_chunk_recipes": OP6_SQL,
+    "op11_cross_polytope": OP11_SQL,
     "op13_best_positions": OP13_SQL,
 }
