@@ -86,8 +86,10 @@ def bag_table(tokens: DataFrame, vocabulary: DataFrame, opts: Options, posts: in
     """``uniqueID`` and ``titleBodyBag``, or ``titleBag`` and ``bodyBag``, of every post with a known term.
 
     A bag is the sparse vector as an array of (rank, value), sorted by rank; it
-    has no limit of size, and an empty vocabulary gives an empty table.
+    has no limit of size, and an empty vocabulary gives an empty table. Posts
+    without id have no bag, as none could be told from the others.
     """
+    tokens = tokens.where("uniqueID IS NOT NULL")
     known = vocabulary
     if opts.algorithm == IDF_ALGORITHM:
         known = materialize(idf_weights(vocabulary, posts), "weighted-vocabulary")

@@ -8,16 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tagweave.operators.skew import HOT_LANES, LANES, hot_keys, key_hash, without_key
 from tagweave.sources.tables import materialize
 
 # Most rows of a dimension that are ever broadcast, its most frequent keys, and
 # the longest string such a row may hold: together they bound the broadcast.
 HEAVY_KEYS = 50_000
 HEAVY_LENGTH = 256
-# Shuffle lanes over which rows that need no further lookup are spread.
-LANES = 4096
-# Lanes over which one hot key of the shuffle join is spread.
-HOT_LANES = 64
 
 
 def heavy_by_rank(rank: str) -> Column:
@@ -35,27 +32,6 @@ def heavy_by_count(dimension: DataFrame, count: str) -> Column:
     return F.col(count) * HEAVY_KEYS >= F.lit(total)
 
 
-def _short(column: Column) -> Column:
-    """The string itself, or a digest where it is long: bounded, and as good as a key."""
-    return F.when(F.length(column) <= HEAVY_LENGTH, column).otherwise(F.concat(F.lit("\0"), F.sha2(column, 256)))
-
-
-def _keys(df: DataFrame, on: Sequence[str]) -> list[Column]:
-    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-    return [(_short(F.col(k)) if k in strings else F.col(k)).alias(f"_key_{k}") for k in on]
-
-
-def hot_keys(facts: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Keys that hold at least 1/``HEAVY_KEYS`` of the facts, known to the dimension or not.
-
-    There can be no more than ``HEAVY_KEYS`` of them, and long strings are
-    digests, so the table may be broadcast.
-    """
-    counts = materialize(facts.groupBy(*_keys(facts, on)).agg(F.count("*").alias("_n")), "key-counts")
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    return counts.where(F.col("_n") * HEAVY_KEYS >= F.lit(total)).drop("_n")
-
-
 def lookup(facts: DataFrame, dimension: DataFrame, on: Sequence[str], heavy: Column, spread: str) -> DataFrame:
     """Left join of ``facts`` to a written ``dimension``; hot keys never meet in one task.
 
@@ -63,9 +39,9 @@ def lookup(facts: DataFrame, dimension: DataFrame, on: Sequence[str], heavy: Col
     them, with values of bounded length; these are broadcast. If the dimension
     has more rows, the rest is joined by shuffle. Rows that have their answer
     already, or have no key, travel in lanes derived from ``spread``. The hot
-    keys among the others, absent ones and very long ones, are counted in the
-    facts: they spread over all lanes, to each of which the dimension sends
-    their rows, if it has any.
+    keys among the others, absent ones and very long ones, are found by a sketch:
+    they spread over lanes, to each of which the dimension sends their rows, if it
+    has any. The facts are evaluated once.
     """
     on = list(on)
     values = [c for c in dimension.columns if c not in on]
@@ -78,24 +54,18 @@ def lookup(facts: DataFrame, dimension: DataFrame, on: Sequence[str], heavy: Col
     light = dimension.where(~heavy)
     if light.isEmpty():
         return first.select(*facts.columns, *values)
-    done = F.coalesce("_hit", F.lit(False))
-    for key in on:
-        done = done | F.col(key).isNull()
-    keys = [f"_key_{k}" for k in on]
-    hot = materialize(hot_keys(first.where(~done).select(*on), on).withColumn("_hot", F.lit(True)), "hot-keys")
-    marked = first.select("*", *_keys(first, on)).join(F.broadcast(hot), keys, "left")
-    is_hot = F.coalesce("_hot", F.lit(False))
+    # Written once: the sketch reads the keys of what the join reads in full.
+    first = materialize(first, "looked-up")
+    done = F.coalesce("_hit", F.lit(False)) | without_key(on)
+    key = key_hash(on)
+    hot = key.isin(hot_keys(first.where(~done), on))
     # The lane is part of the shuffle key. It must be computed from the row on
     # both sides: a constant would be folded into a filter beside the join.
-    own = F.pmod(F.xxhash64(*on), F.lit(LANES))
+    own = F.pmod(key, F.lit(LANES))
     apart = F.pmod(F.xxhash64(spread), F.lit(LANES)) + LANES
     shared = F.pmod(F.xxhash64(spread), F.lit(HOT_LANES)) + 2 * LANES
-    lanes = F.when(F.col("_hot"), F.sequence(F.lit(2 * LANES), F.lit(2 * LANES + HOT_LANES - 1))).otherwise(F.array(own.cast("int")))
-    rest = (
-        light.select("*", *_keys(light, on))
-        .join(F.broadcast(hot), keys, "left")
-        .select(*on, *[F.col(c).alias(f"_light_{c}") for c in values], F.explode(lanes).alias("_lane"))
-    )
-    lane = F.when(done, apart).when(is_hot, shared).otherwise(own).cast("int")
-    joined = marked.withColumn("_lane", lane).join(rest, [*on, "_lane"], "left")
+    lanes = F.when(hot, F.sequence(F.lit(2 * LANES), F.lit(2 * LANES + HOT_LANES - 1))).otherwise(F.array(own.cast("int")))
+    rest = light.select(*on, *[F.col(c).alias(f"_light_{c}") for c in values], F.explode(lanes).alias("_lane"))
+    lane = F.when(done, apart).when(hot, shared).otherwise(own).cast("int")
+    joined = first.withColumn("_lane", lane).join(rest, [*on, "_lane"], "left")
     return joined.select(*facts.columns, *[F.coalesce(c, f"_light_{c}").alias(c) for c in values])

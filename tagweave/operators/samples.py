@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagweave.functions.hashing import stable_hash
 from tagweave.operators.lookup import heavy_by_count, lookup
 from tagweave.operators.ordering import ordered_index
+from tagweave.operators.skew import skew_join
 from tagweave.sources.tables import materialize
 
 
@@ -19,9 +20,9 @@ def assemble_samples(text: DataFrame, encoded: DataFrame, how: str = "left") ->
     """Join encoded tags to the processed text of the same post.
 
     Posts without tags keep empty label sets and count 0; the domain is the
-    text's.
+    text's. Posts without id have no tags; a left join keeps each of them.
     """
-    return label_samples(text.join(encoded.drop("domain"), "uniqueID", how))
+    return label_samples(skew_join(text, encoded.drop("domain"), ["uniqueID"], how))
 
 
 def label_samples(labelled: DataFrame) -> DataFrame:
@@ -39,8 +40,8 @@ def label_samples(labelled: DataFrame) -> DataFrame:
 
 
 def attach_features(samples: DataFrame, features: DataFrame) -> DataFrame:
-    """Left join of a separate feature table."""
-    return samples.join(features, "uniqueID", "left")
+    """Left join of a separate feature table; samples without id stay, without features."""
+    return skew_join(samples, features, ["uniqueID"], "left")
 
 
 def shard_counts(samples: DataFrame) -> DataFrame:

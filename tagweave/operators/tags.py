@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagweave.operators.lookup import heavy_by_count, lookup
 from tagweave.operators.ordering import ordered_index
 from tagweave.operators.rows import explode_rows
+from tagweave.operators.skew import row_number_of_keyless
 from tagweave.options import UNDEFINED_DOMAIN
 from tagweave.sources.tables import materialize
 
@@ -76,11 +77,13 @@ def encode_tags(
     """Tag names to sorted sets of ranks.
 
     Tags without a rank drop out but stay in ``originalTagCount``. Posts with no
-    tags give no row unless ``keep_untagged``. Both rank tables must be written
-    tables (:func:`tagweave.sources.tables.materialize`).
+    tags give no row unless ``keep_untagged``. Tag rows of one id are merged; rows
+    without id stay apart. Both rank tables must be written tables
+    (:func:`tagweave.sources.tables.materialize`).
     """
-    kept = ["uniqueID", "domain", "uniqueTagCount"]
-    exploded = explode_rows(tag_sets(posts), kept, "tagSet", "tag", outer=keep_untagged)
+    kept = ["uniqueID", "_own", "domain", "uniqueTagCount"]
+    sets = tag_sets(posts).withColumn("_own", row_number_of_keyless(["uniqueID"]))
+    exploded = explode_rows(sets, kept, "tagSet", "tag", outer=keep_untagged)
     with_global = lookup(
         exploded,
         global_tags.select("tag", "tagGlobalRank", "tagGlobalCount"),
@@ -95,12 +98,13 @@ def encode_tags(
         heavy_by_count(domain_tags, "tagInDomainCount"),
         "uniqueID",
     )
-    return ranked.groupBy("uniqueID").agg(
+    merged = ranked.groupBy("uniqueID", "_own").agg(
         F.sort_array(F.collect_set("tagGlobalRank")).alias("globalTags"),
         F.sort_array(F.collect_set("tagRankInDomain")).alias("domainTags"),
         F.max("uniqueTagCount").cast("long").alias("originalTagCount"),
         F.max("domain").alias("domain"),
     )
+    return merged.drop("_own")
 
 
 def cap_labels(labels: Column, cap: int) -> Column:
@@ -109,13 +113,14 @@ def cap_labels(labels: Column, cap: int) -> Column:
 
 
 def decode_labels(encoded: DataFrame, global_tags: DataFrame, domain_tags: DataFrame) -> DataFrame:
-    """Ranks back to sorted tag names: ``globalNames`` and ``domainNames``."""
+    """Ranks back to sorted tag names: ``globalNames`` and ``domainNames``; rows without id stay apart."""
     either = F.array_union(
         F.transform("globalTags", lambda r: F.struct(F.lit("g").alias("kind"), r.alias("rank"))),
         F.transform("domainTags", lambda r: F.struct(F.lit("d").alias("kind"), r.alias("rank"))),
     )
-    long = explode_rows(encoded, ["uniqueID", "domain"], either, "label").select(
-        "uniqueID", "label.kind", "label.rank", F.when(F.col("label.kind") == "d", F.col("domain")).otherwise("").alias("domain")
+    rows = encoded.withColumn("_own", row_number_of_keyless(["uniqueID"]))
+    long = explode_rows(rows, ["uniqueID", "_own", "domain"], either, "label").select(
+        "uniqueID", "_own", "label.kind", "label.rank", F.when(F.col("label.kind") == "d", F.col("domain")).otherwise("").alias("domain")
     )
     names = domain_tags.select(
         F.lit("d").alias("kind"), F.col("tagRankInDomain").alias("rank"), "domain", "tag", F.col("tagInDomainCount").alias("count")
@@ -129,4 +134,5 @@ def decode_labels(encoded: DataFrame, global_tags: DataFrame, domain_tags: DataF
     def of(kind: str) -> Column:
         return F.sort_array(F.collect_set(F.when(F.col("kind") == kind, F.col("tag"))))
 
-    return named.groupBy("uniqueID").agg(of("g").alias("globalNames"), of("d").alias("domainNames"))
+    decoded = named.groupBy("uniqueID", "_own").agg(of("g").alias("globalNames"), of("d").alias("domainNames"))
+    return decoded.drop("_own")

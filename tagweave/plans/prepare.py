@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.operators import dictionary, features, samples, split, tags
+from tagweave.operators.skew import skew_join
 from tagweave.operators.text import count_items, hash_fields, tokenize
 from tagweave.options import IDF_ALGORITHM, Options
 from tagweave.sources import posts as readers
@@ -80,7 +81,7 @@ def prepare(text: DataFrame, tag_rows: DataFrame, opts: Options, with_bags: bool
     lookups = rank_tables(tag_rows, opts)
     encoded = tags.encode_tags(tag_rows, lookups["global_tags"], lookups["domain_tags"], keep_untagged=True)
     labels = encoded.drop("domain").withColumn("tagged", F.lit(True))
-    posts = tokenize(text, opts).join(labels, "uniqueID", "left")
+    posts = skew_join(tokenize(text, opts), labels, ["uniqueID"], "left")
     posts = materialize(posts.withColumn("tagged", F.coalesce("tagged", F.lit(False))), "tagged-posts")
 
     statistics = token_statistics(posts, opts)
