@@ -8,8 +8,9 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.operators.lookup import heavy_by_count, lookup
 from tagweave.operators.rows import explode_rows
+from tagweave.operators.rule_tree import build_tree, match_rules
+from tagweave.operators.skew import skew_join
 from tagweave.operators.split import training_rows
 from tagweave.operators.tags import cap_labels
 from tagweave.options import Options
@@ -89,56 +90,28 @@ def label_rules(rules: DataFrame) -> DataFrame:
     return rules.where(is_label(F.col("consequent")[0]))
 
 
-def file_rules(mined: Mined) -> DataFrame:
-    """One row per anchor: the antecedents filed under it, each with all its consequents.
-
-    An antecedent's anchor is its rarest item, so a frequent item is the anchor
-    only of antecedents that consist of frequent items alone.
-    """
-    antecedents = mined.rules.groupBy("antecedent").agg(
-        F.array_distinct(F.flatten(F.collect_set("consequent"))).alias("then")
-    )
-    single = mined.itemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("anchor"), "freq")
-    return (
-        antecedents.select("antecedent", "then", F.explode("antecedent").alias("anchor"))
-        .join(single, "anchor")
-        .groupBy("antecedent")
-        .agg(F.min_by(F.struct("anchor", "freq"), F.struct("freq", "anchor")).alias("rarest"), F.first("then").alias("then"))
-        .groupBy(F.col("rarest.anchor").alias("anchor"), F.col("rarest.freq").alias("freq"))
-        .agg(F.collect_list(F.struct("antecedent", "then")).alias("filed"))
-    )
-
-
 def predict(baskets: DataFrame, mined: Mined, items: str = "tokens") -> DataFrame:
     """Add ``prediction``: consequents of the rules whose antecedent the basket holds.
 
-    A basket is first cut down to the items that antecedents are made of, so the
-    rest of a long post is never copied. It then meets the rules filed under its
-    anchors, and containment is tested inside the row. Frequent anchors are
-    looked up without a shuffle.
+    The antecedents are a prefix tree in the order of their items' frequency, and
+    each basket walks it. Every row has a prediction of its own, also where ids
+    repeat or are missing.
     """
-    anchors = materialize(file_rules(mined), "anchors")
-    useful = anchors.select(F.explode(F.flatten("filed.antecedent")).alias("item")).distinct()
-    useful = materialize(useful.join(anchors, F.col("item") == F.col("anchor"), "left").select("item", F.coalesce("freq", F.lit(0)).alias("freq")), "rule-items")
-    exploded = explode_rows(baskets.select("id", F.array_distinct(items).alias("_items")), ["id"], "_items", "item")
-    known = lookup(exploded, useful.withColumn("_known", F.lit(True)), ["item"], heavy_by_count(useful, "freq"), "id")
-    cut = known.where("_known").groupBy("id").agg(F.collect_set("item").alias("_basket"))
-    met = lookup(
-        explode_rows(cut, ["id", "_basket"], "_basket", "anchor"), anchors, ["anchor"], heavy_by_count(anchors, "freq"), "id"
-    )
-    found = (
-        met.where(F.col("filed").isNotNull())
-        .select("id", "_basket", F.explode("filed").alias("rule"))
-        .where(F.size(F.array_except("rule.antecedent", "_basket")) == 0)
-        .select("id", F.explode("rule.then").alias("_then"))
-        .groupBy("id")
-        .agg(F.collect_set("_then").alias("_then"))
+    rows = materialize(baskets.withColumn("_row", F.monotonically_increasing_id()), "predicted-baskets")
+    conclusions = mined.rules.groupBy(F.sort_array("antecedent").alias("antecedent")).agg(
+        F.array_distinct(F.flatten(F.collect_set("consequent"))).alias("then")
     )
+    conclusions = materialize(conclusions.withColumn("rule", F.monotonically_increasing_id()), "conclusions")
+    single = mined.itemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
+    tree = build_tree(conclusions.select("rule", "antecedent"), single)
+    met = match_rules(rows, tree, "_row", items)
+    then = conclusions.select("rule", F.explode("then").alias("_then"))
+    found = skew_join(met, then, ["rule"]).groupBy("_row").agg(F.collect_set("_then").alias("_then"))
     none = F.array().cast("array<string>")
     return (
-        baskets.join(found, "id", "left")
+        rows.join(found, "_row", "left")
         .withColumn("prediction", F.array_except(F.coalesce("_then", none), items))
-        .drop("_then")
+        .drop("_then", "_row")
     )
 
 

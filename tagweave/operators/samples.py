@@ -22,7 +22,7 @@ def assemble_samples(text: DataFrame, encoded: DataFrame, how: str = "left") ->
     Posts without tags keep empty label sets and count 0; the domain is the
     text's. Posts without id have no tags; a left join keeps each of them.
     """
-    return label_samples(skew_join(text, encoded.drop("domain"), ["uniqueID"], how))
+    return label_samples(skew_join(text, encoded.drop("domain"), ["uniqueID"], how, right_unique=True))
 
 
 def label_samples(labelled: DataFrame) -> DataFrame:

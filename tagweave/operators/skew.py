@@ -70,7 +70,7 @@ def _in_lanes(rows: DataFrame, on: Sequence[str], spread: list[int], replicated:
     return rows.withColumn("_lane", F.explode(F.when(key.isin(replicated), everywhere).otherwise(F.array(lane))))
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", right_unique: bool = False) -> DataFrame:
     """``left.join(right, on, how)`` for ``inner`` and ``left``, balanced without adaptive execution.
 
     A key is hot if one side holds it in 1/``HOT_SHARE`` of the rows of the larger
@@ -87,7 +87,7 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     hot_left, hot_right = list(counted_left), []
     if how == "inner":
         left = left.where(~without_key(on))
-        counted_right, n_right = frequent_keys(right, on)
+        counted_right, n_right = ({}, 0) if right_unique else frequent_keys(right, on)
         least = max(n_left, n_right) / HOT_SHARE
         hot_left = [k for k, n in counted_left.items() if n >= max(least, counted_right.get(k, 0))]
         hot_right = [k for k, n in counted_right.items() if n >= least and k not in set(hot_left)]

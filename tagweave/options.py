@@ -18,6 +18,7 @@ class Options:
     ``normalize`` is set. ``fit_on`` decides whether the bag vocabulary and the
     IDF weights come from every post or from the training posts only. Rules need
     ``support_count`` training posts, or the share ``min_support`` if that is set.
+    ``max_antecedent`` bounds the items on the left of a label rule; None does not.
     """
 
     training_share: float = 0.6
@@ -45,6 +46,7 @@ class Options:
     min_confidence: float = 0.7
     support_count: int = 20
     min_support: float | None = None
+    max_antecedent: int | None = None
 
     def __post_init__(self) -> None:
         def check(ok: bool, message: str) -> None:
@@ -66,6 +68,7 @@ class Options:
         check(self.label_cap > 0 and self.support_count > 0, "caps and supports must be positive")
         check(0 < self.min_confidence <= 1, "min_confidence must lie in (0, 1]")
         check(self.min_support is None or 0 < self.min_support <= 1, "min_support must lie in (0, 1]")
+        check(self.max_antecedent is None or self.max_antecedent > 0, "max_antecedent must be positive")
 
     @property
     def test_bound(self) -> float:

@@ -15,6 +15,7 @@ from tagweave.options import Options
 from tagweave.plans.queries import (
     DEFAULTS,
     LABEL_CAP,
+    LABEL_RULES,
     LOOKED_UP,
     NGRAM,
     REPORT_PARTS,
@@ -486,14 +487,60 @@ SELECT b.id, list(DISTINCT r.consequent ORDER BY r.consequent) AS prediction
 FROM c_text_basket b JOIN c_text_rule r ON list_has_all(b.tokens, r.antecedent) AND NOT list_contains(b.tokens, r.consequent)
 GROUP BY b.id"""
 STEPS["c_predicted"] = """
-SELECT b.*, coalesce(p.prediction, []) AS prediction,
-       list_filter(coalesce(p.prediction, []), lambda x: x LIKE 'l:%') AS guess
+SELECT b.*, coalesce(p.prediction, []) AS prediction
 FROM c_text_basket b LEFT JOIN c_prediction p ON p.id = b.id"""
+
+# Rules that conclude a language: valid sets are not extended, and only the minimal ones stay.
+STEPS["c_lang_tag"] = f"""
+SELECT doc_id AS "uniqueID", trim(lang) AS tag, {_set('doc_id')} AS "set" FROM documents WHERE trim(lang) <> ''"""
+STEPS["c_lang_rank"] = f"""
+SELECT tag, row_number() OVER (ORDER BY count(*) DESC, tag) - 1 AS r FROM c_lang_tag WHERE "set" = '{TRAINING}' GROUP BY tag"""
+STEPS["c_lang_basket"] = f"""
+SELECT t."uniqueID" AS id, t."set", list_transform(list_distinct(t.title || t.body), lambda w: 't:' || w) AS tokens,
+       CASE WHEN k.r < {LABEL_RULES.label_cap} THEN ['l:' || k.r] ELSE [] END AS labels
+FROM c_normal t JOIN c_lang_tag g ON g."uniqueID" = t."uniqueID" LEFT JOIN c_lang_rank k ON k.tag = g.tag"""
+STEPS["c_lang_item"] = f"""
+SELECT id, labels, unnest(tokens) AS item FROM c_lang_basket WHERE "set" = '{TRAINING}'"""
+STEPS["c_lang_single"] = """
+SELECT item, list(id) AS ids, count(*) AS n FROM c_lang_item GROUP BY item"""
+STEPS["c_lang_pair"] = f"""
+SELECT label, item, list(id) AS own FROM (SELECT id, item, unnest(labels) AS label FROM c_lang_item)
+GROUP BY label, item HAVING count(*) >= {LABEL_RULES.support_count}"""
+STEPS["c_lang_open"] = f"""
+SELECT label, item, own, ids, n FROM c_lang_pair JOIN c_lang_single USING (item)
+WHERE len(own)::DOUBLE / n < {LABEL_RULES.min_confidence}"""
+STEPS["c_lang_set"] = f"""
+SELECT label, [item] AS items, item AS last, own, ids FROM c_lang_pair JOIN c_lang_single USING (item)
+UNION ALL
+(SELECT label, items, last, own, ids FROM (
+  SELECT s.label, list_append(s.items, o.item) AS items, o.item AS last,
+         list_intersect(s.own, o.own) AS own, list_intersect(s.ids, o.ids) AS ids
+  FROM c_lang_set s JOIN c_lang_open o ON o.label = s.label AND o.item > s.last
+  WHERE len(s.own)::DOUBLE / len(s.ids) < {LABEL_RULES.min_confidence}
+) WHERE len(own) >= {LABEL_RULES.support_count})"""
+STEPS["c_lang_valid"] = f"""
+SELECT label, items, len(own)::BIGINT AS freq, len(own)::DOUBLE / len(ids) AS confidence FROM c_lang_set
+WHERE len(own)::DOUBLE / len(ids) >= {LABEL_RULES.min_confidence}"""
+STEPS["c_lang_rule"] = """
+SELECT * FROM c_lang_valid v WHERE len(v.items) = 1 OR NOT EXISTS (
+  SELECT 1 FROM c_lang_valid w
+  WHERE w.label = v.label AND len(w.items) < len(v.items) AND len(w.items) > 1 AND list_has_all(v.items, w.items))"""
+STEPS["c_lang_guess"] = """
+SELECT id, list(DISTINCT label) AS guess FROM (
+  SELECT t.id, r.label FROM (SELECT id, unnest(tokens) AS item FROM c_lang_basket) t
+  JOIN (SELECT label, items[1] AS item FROM c_lang_rule WHERE len(items) = 1) r USING (item)
+  UNION ALL
+  SELECT t.id, r.label FROM (SELECT id, tokens, unnest(tokens) AS item FROM c_lang_basket) t
+  JOIN (SELECT label, items, items[1] AS item FROM c_lang_rule WHERE len(items) > 1) r
+    ON r.item = t.item AND list_has_all(t.tokens, r.items)
+) GROUP BY id"""
+STEPS["c_guessed"] = """
+SELECT b.*, coalesce(p.guess, []) AS guess FROM c_lang_basket b LEFT JOIN c_lang_guess p ON p.id = b.id"""
 STEPS["c_confusion"] = """
 SELECT id, "set", list_filter(guess, lambda x: list_contains(labels, x)) AS tp,
        list_filter(guess, lambda x: NOT list_contains(labels, x)) AS fp,
        list_filter(labels, lambda x: NOT list_contains(guess, x)) AS fn
-FROM c_predicted"""
+FROM c_guessed"""
 
 
 def _sorted_text(values: str) -> str:
@@ -510,7 +557,7 @@ ORACLES["itemsets"] = f"SELECT {_sorted_text('items')} AS items, freq FROM c_tex
 ORACLES["rules"] = f"""
 SELECT {_sorted_text('antecedent')} AS antecedent, consequent, round(confidence, 6) AS confidence FROM c_text_rule"""
 ORACLES["label_rules"] = f"""
-SELECT {_sorted_text('antecedent')} AS antecedent, consequent FROM c_text_rule WHERE consequent LIKE 'l:%'"""
+SELECT {_sorted_text('items')} AS antecedent, label AS consequent, freq, round(confidence, 6) AS confidence FROM c_lang_rule"""
 ORACLES["confusion"] = f"""
 SELECT id, "set", {_sorted_text('tp')} AS tp, {_sorted_text('fp')} AS fp, {_sorted_text('fn')} AS fn FROM c_confusion"""
 STEPS["c_score"] = """

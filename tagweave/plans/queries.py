@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagweave.functions import text as fn
 from tagweave.functions.hashing import hash_tokens
 from tagweave.functions.stemming import stem_tokens
-from tagweave.operators import dictionary, features, mining, quality, samples, split, tags
+from tagweave.operators import class_rules, dictionary, features, mining, quality, samples, split, tags
 from tagweave.operators import text as tx
 from tagweave.options import Options
 from tagweave.plans.prepare import Prepared
@@ -27,6 +27,7 @@ NORMAL = Options(normalize=True, lower_case=True)
 STEMMED = replace(NORMAL, stem=True)
 # Settings of the mining queries; also read by their SQL counterparts.
 TEXT_RULES = Options(min_support=0.2, min_confidence=0.3, normalize=True, lower_case=True)
+LABEL_RULES = Options(support_count=20, min_confidence=0.7, normalize=True, lower_case=True)
 SHARD_ROWS = 100
 SAMPLE_SHARE, SAMPLE_SEED = 0.1, 7
 LOOKED_UP = 77
@@ -588,10 +589,21 @@ def rules(spark, folder):
     )
 
 
+def _language_baskets(spark, folder) -> DataFrame:
+    """The documents' tokens with their language as the label."""
+    tag_rows = materialize(split.assign_sets(posts.clean_tags(adapters.language_tags(spark, folder)), DEFAULTS), "tag-rows")
+    encoded = tags.encode_tags(tag_rows, *_rank_tables(tag_rows))
+    rows = samples.assemble_samples(_tokens(spark, folder, LABEL_RULES), encoded, how="inner")
+    return materialize(mining.build_baskets(rows, LABEL_RULES), "baskets")
+
+
 @query
 def label_rules(spark, folder):
-    found = mining.label_rules(mining.fit_rules(_baskets(spark, folder), TEXT_RULES).rules)
-    return found.select(_as_text("antecedent").alias("antecedent"), F.explode("consequent").alias("consequent"))
+    """Minimal rules that conclude a label, at a support of 20 posts."""
+    found = class_rules.fit_label_rules(_language_baskets(spark, folder), LABEL_RULES).rules
+    return found.select(
+        _as_text("antecedent").alias("antecedent"), F.explode("consequent").alias("consequent"), "freq", F.round("confidence", 6).alias("confidence")
+    )
 
 
 def _predicted(spark, folder) -> DataFrame:
@@ -610,16 +622,21 @@ def predict_joined(spark, folder):
     return _predicted(spark, folder).select("id", F.explode("prediction").alias("item"))
 
 
+def _predicted_labels(spark, folder) -> DataFrame:
+    rows = _language_baskets(spark, folder)
+    return mining.predict(rows, class_rules.fit_label_rules(rows, LABEL_RULES))
+
+
 @query
 def confusion(spark, folder):
-    return mining.confusion(_predicted(spark, folder)).select(
+    return mining.confusion(_predicted_labels(spark, folder)).select(
         "id", "set", *[_as_text(c).alias(c.lower()) for c in ("TP", "FP", "FN")]
     )
 
 
 @query
 def scores(spark, folder):
-    found = mining.micro_scores(mining.confusion(_predicted(spark, folder)))
+    found = mining.micro_scores(mining.confusion(_predicted_labels(spark, folder)))
     return found.select("set", "tp", "fp", "fn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 

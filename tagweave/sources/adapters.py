@@ -30,8 +30,8 @@ def post_tags(spark: SparkSession, folder: str) -> DataFrame:
 
     The distinct (flag, brand) pairs bound the list by the two small domains,
     however many lines one order has. Lines meet their part by a lookup, so a
-    part that fills a third of the lines does not meet in one task. A brand can occur under several flags, so the parser has repeats
-    to remove. The domain is the document's language if the id is a document,
+    part that fills a third of the lines does not meet in one task. A brand can
+    occur under several flags, so the parser has repeats to remove. The domain is the document's language if the id is a document,
     else the order's priority.
     """
 
@@ -56,3 +56,9 @@ def post_tags(spark: SparkSession, folder: str) -> DataFrame:
             F.coalesce("lang", "o_orderpriority", F.lit(UNDEFINED_DOMAIN)).alias("domain"),
         )
     )
+
+
+def language_tags(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as posts tagged with their language, all in one domain: tags that the text tells."""
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    return documents.select(F.col("doc_id").alias("uniqueID"), F.col("lang").alias("tags"), F.lit("documents").alias("domain"))
