@@ -107,10 +107,9 @@ def run(spark: SparkSession, source: str, output: str, opts: Options) -> Prepare
     What is returned reads intermediate tables, which go when the application
     ends or with :func:`tagweave.sources.tables.clear`.
 
-    CSV with quoted line breaks is parsed by one task per file and cannot be
-    pruned, so it is turned into a columnar table first.
+    The readers turn CSV into columnar tables, which can be pruned.
     """
-    text = materialize(readers.read_post_text(spark, source, opts.dotall), "post-text")
+    text = readers.read_post_text(spark, source, opts.dotall)
     tag_rows = readers.read_post_tags(spark, source)
     prepared = prepare(text, tag_rows, opts)
     sinks.write_samples(prepared.samples, output, opts)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagweave.functions.text import strip_carriage_return, strip_math
+from tagweave.sources.quoted_csv import read_quoted_csv
 from tagweave.sources.tables import spread
 
 TEXT_SCHEMA = T.StructType(
@@ -26,15 +27,11 @@ TAG_SCHEMA = T.StructType(
 )
 
 # The dialect and file names of the input format.
-CSV_DIALECT = {"header": False, "sep": "|", "multiLine": True, "quote": '"', "escape": '"'}
+CSV_DIALECT = {"header": False, "sep": "|", "quote": '"', "escape": '"'}
 TEXT_FILES = "postText*.csv"
 TAG_FILES = "postTag*.csv"
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_DIALECT).csv(path)
-
-
 def clean_text(posts: DataFrame, dotall: bool = False) -> DataFrame:
     """Null strings become empty, ``\\r`` leaves the domain, formulas leave the text."""
     return posts.na.fill("").withColumns(
@@ -51,19 +48,22 @@ def clean_tags(tags: DataFrame) -> DataFrame:
 
 
 def read_post_text(spark: SparkSession, folder: str, dotall: bool = False) -> DataFrame:
-    """Posts of ``postText*.csv``: headerless, ``|``-separated, quotes may span lines."""
-    raw = _read_csv(spark, f"{folder}/{TEXT_FILES}", TEXT_SCHEMA)
+    """Posts of ``postText*.csv``: headerless, ``|``-separated, quotes may span lines.
+
+    A written table: files of any size are read by many tasks, and read once.
+    """
+    raw = read_quoted_csv(spark, f"{folder}/{TEXT_FILES}", TEXT_SCHEMA)
     return clean_text(spread(raw), dotall)
 
 
 def read_post_tags(spark: SparkSession, folder: str) -> DataFrame:
-    raw = _read_csv(spark, f"{folder}/{TAG_FILES}", TAG_SCHEMA)
+    raw = read_quoted_csv(spark, f"{folder}/{TAG_FILES}", TAG_SCHEMA)
     return clean_tags(spread(raw))
 
 
 def write_posts(text: DataFrame, tag_rows: DataFrame, folder: str) -> None:
     """Both post tables in the input dialect, as folders that the readers' patterns match."""
-    dialect = {k: v for k, v in CSV_DIALECT.items() if k != "multiLine"} | {
+    dialect = CSV_DIALECT | {
         "quoteAll": True,
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
