@@ -23,9 +23,9 @@ from tagweave.llm.tokens import tokenizer_path
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 # Chunks of a generation of the cache; two generations are kept.
-CACHED_CHUNKS = 250_000
+CACHED_CHUNKS = 100_000
 # Characters of new chunks that are encoded in one call.
-CALL_CHARS = 1_000_000
+CALL_CHARS = 200_000
 
 # Characters whose class no Unicode version changed, and white space that is not single.
 _UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")

@@ -31,7 +31,7 @@ from tagweave.llm.common import documents, slim
 from tagweave.sources.tables import materialize
 
 # Chunks of text that a run holds; a longer document is a run of its own.
-RUN_CHUNKS = 1_000_000
+RUN_CHUNKS = 300_000
 RADIXES = 64
 # Directories that one merge opens.
 FAN_IN = 256
