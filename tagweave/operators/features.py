@@ -9,6 +9,7 @@ from tagweave.operators.lookup import heavy_by_rank, lookup
 from tagweave.operators.ordering import ordered_index
 from tagweave.operators.split import training_rows
 from tagweave.operators.text import FIELDS, item_counts, merge_fields, merge_ngrams
+from tagweave.operators.topk import top_rows
 from tagweave.options import IDF_ALGORITHM, Options
 from tagweave.sources.tables import materialize
 
@@ -25,11 +26,12 @@ def term_statistics(tokens: DataFrame) -> DataFrame:
 def top_terms(statistics: DataFrame, opts: Options) -> DataFrame:
     """The ``vocab_size`` most frequent terms found in at least ``min_df`` posts.
 
-    Columns ``words``, ``rank``, ``tf`` and ``df``; ties are ordered by name. The
-    sort runs on all executors, so a vocabulary of a million terms does not
-    pass through one task.
+    Columns ``words``, ``rank``, ``tf`` and ``df``; ties are ordered by name.
+    ``statistics`` should be a written table: histograms of ``tf`` find the least
+    frequency of the vocabulary, and only terms that reach it are sorted, on all
+    executors.
     """
-    common = statistics.where(F.col("df") >= opts.min_df)
+    common = top_rows(statistics.where(F.col("df") >= opts.min_df), "tf", opts.vocab_size)
     ranked = ordered_index(common, [F.desc("tf"), F.asc("term")], "rank")
     return ranked.where(F.col("rank") < opts.vocab_size).select(
         F.col("term").alias("words"), "rank", "tf", "df"
@@ -37,7 +39,7 @@ def top_terms(statistics: DataFrame, opts: Options) -> DataFrame:
 
 
 def build_vocabulary(tokens: DataFrame, opts: Options) -> DataFrame:
-    return top_terms(term_statistics(tokens), opts)
+    return top_terms(materialize(term_statistics(tokens), "term-statistics"), opts)
 
 
 def vocabulary_table(vocabulary: DataFrame) -> DataFrame:

@@ -61,6 +61,20 @@ def label_disagreements(decoded: DataFrame) -> DataFrame:
     )
 
 
+def layout_report(table: DataFrame, by: list[str]) -> DataFrame:
+    """Per value of the layout columns, the files of a table as read: ``files, rows, largest``."""
+    files = table.groupBy(*by, F.col("_metadata.file_path").alias("_file")).agg(F.count("*").alias("_rows"))
+    return files.groupBy(*by).agg(
+        F.count("*").alias("files"), F.sum("_rows").alias("rows"), F.max("_rows").alias("largest")
+    )
+
+
+def skewed_parts(sizes: DataFrame, factor: float = 4.0) -> DataFrame:
+    """The parts that hold more than ``factor`` times the mean ``rows``; none if the table lies evenly."""
+    mean = sizes.agg(F.avg("rows")).first()[0]
+    return sizes.where(F.col("rows") > F.lit(mean) * factor)
+
+
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows per partition of the frame as it stands; uneven numbers show skew."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("rows"))

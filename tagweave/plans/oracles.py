@@ -18,7 +18,6 @@ from tagweave.plans.queries import (
     LABEL_RULES,
     LOOKED_UP,
     NGRAM,
-    REPORT_PARTS,
     SAMPLE_SEED,
     SAMPLE_SHARE,
     SHARD_ROWS,
@@ -606,7 +605,12 @@ FROM (SELECT "uniqueID", field, count(*) AS features FROM c_field_term JOIN c_vo
 JOIN c_token USING ("uniqueID") GROUP BY field"""
 ORACLES["multi_label"] = 'SELECT "set", count(*) FILTER (len(domains) > 1) AS "multiLabel" FROM c_sample GROUP BY "set"'
 
-ORACLES["partition_report"] = f'SELECT {REPORT_PARTS}::BIGINT AS partitions, count(*) AS "rows" FROM c_sample'
+STEPS["c_small_shard"] = _shard("c_sample", SHARD_ROWS)
+ORACLES["partition_report"] = """
+SELECT domain, "set", rng, 1::BIGINT AS files, count(*) AS "rows", count(*) AS largest FROM c_small_shard GROUP BY domain, "set", rng"""
+ORACLES["sample_manifest"] = """
+SELECT domain, "set", count(*) AS "rows", min("uniqueID") AS least, max("uniqueID") AS most, count(*) AS read
+FROM c_sample GROUP BY domain, "set""""
 ORACLES["post_by_id"] = f'SELECT "uniqueID", title, domain FROM c_text WHERE "uniqueID" = {LOOKED_UP}'
 _SAMPLED = _draw('"uniqueID"', Options(seed=SAMPLE_SEED))
 ORACLES["post_sample"] = f"""

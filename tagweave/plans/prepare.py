@@ -10,21 +10,25 @@ from pyspark.sql import functions as F
 from tagweave.operators import dictionary, features, samples, split, tags
 from tagweave.operators.skew import skew_join
 from tagweave.operators.text import count_items, hash_fields, tokenize
-from tagweave.options import IDF_ALGORITHM, Options
+from tagweave.options import Options
 from tagweave.sources import posts as readers
 from tagweave.sources import sinks
-from tagweave.sources.tables import materialize
+from tagweave.sources.tables import materialize, materialize_observed
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """Results of :func:`prepare`; ``samples`` is lazy, the lookups are written tables."""
+    """Results of :func:`prepare`; ``samples`` is lazy, the lookups are written tables.
+
+    ``totals`` has the rows of the samples and of each lookup, counted as they were written.
+    """
 
     samples: DataFrame
     lookups: dict[str, DataFrame]
+    totals: dict[str, int]
 
     def report(self) -> DataFrame:
-        return sinks.run_report(self.lookups)
+        return sinks.run_report(self.lookups["domain_tags"], self.totals)
 
 
 def token_statistics(posts: DataFrame, opts: Options) -> DataFrame:
@@ -52,8 +56,13 @@ def token_statistics(posts: DataFrame, opts: Options) -> DataFrame:
     return materialize(useful, "token-statistics")
 
 
-def rank_tables(tag_rows: DataFrame, opts: Options) -> dict[str, DataFrame]:
-    """Global and domain ranks, from the training posts.
+def _counted(tables: dict[str, DataFrame], label: str, table: DataFrame, totals: dict[str, int]) -> None:
+    tables[label], seen = materialize_observed(table, label, rows=F.count(F.lit(1)))
+    totals[label] = seen["rows"]
+
+
+def rank_tables(tag_rows: DataFrame, opts: Options) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Global and domain ranks, from the training posts, and their numbers of rows.
 
     ``fraction_of_tags`` trims the ranks of each domain only: labels that a
     domain does not keep still have a global rank, as in the original job.
@@ -62,10 +71,11 @@ def rank_tables(tag_rows: DataFrame, opts: Options) -> dict[str, DataFrame]:
     domain_tags = tags.rank_tags_in_domains(counts)
     if opts.fraction_of_tags < 1:
         domain_tags = tags.most_used_fraction(materialize(domain_tags, "domain-tags"), opts.fraction_of_tags)
-    return {
-        "domain_tags": materialize(domain_tags, "domain-tags"),
-        "global_tags": materialize(tags.rank_tags_globally(counts), "global-tags"),
-    }
+    tables: dict[str, DataFrame] = {}
+    totals: dict[str, int] = {}
+    _counted(tables, "domain_tags", domain_tags, totals)
+    _counted(tables, "global_tags", tags.rank_tags_globally(counts), totals)
+    return tables, totals
 
 
 def prepare(text: DataFrame, tag_rows: DataFrame, opts: Options, with_bags: bool = True) -> Prepared:
@@ -78,32 +88,42 @@ def prepare(text: DataFrame, tag_rows: DataFrame, opts: Options, with_bags: bool
     """
     text = split.assign_sets(text, opts)
     tag_rows = materialize(split.assign_sets(tag_rows, opts), "tag-rows")
-    lookups = rank_tables(tag_rows, opts)
+    lookups, totals = rank_tables(tag_rows, opts)
     encoded = tags.encode_tags(tag_rows, lookups["global_tags"], lookups["domain_tags"], keep_untagged=True)
     labels = encoded.drop("domain").withColumn("tagged", F.lit(True))
     posts = skew_join(tokenize(text, opts), labels, ["uniqueID"], "left")
-    posts = materialize(posts.withColumn("tagged", F.coalesce("tagged", F.lit(False))), "tagged-posts")
+    learned = (F.col("set") == split.TRAINING) & F.col("tagged")
+    posts, seen = materialize_observed(
+        posts.withColumn("tagged", F.coalesce("tagged", F.lit(False))),
+        "tagged-posts",
+        posts=F.count(F.lit(1)),
+        tagged=F.count_if("tagged"),
+        learned=F.count_if(learned),
+    )
+    totals["samples"] = seen["tagged"]
 
     statistics = token_statistics(posts, opts)
     unigrams = statistics.where(~F.col("term").contains(" ")).withColumnRenamed("term", "token")
-    lookups["dictionary"] = materialize(dictionary.index_tokens(unigrams, opts), "dictionary")
-    lookups["vocabulary"] = materialize(features.top_terms(statistics, opts), "vocabulary")
+    _counted(lookups, "dictionary", dictionary.index_tokens(unigrams, opts), totals)
+    _counted(lookups, "vocabulary", features.top_terms(statistics, opts), totals)
 
     tagged = posts.where("tagged")
     rows = samples.label_samples(hash_fields(tagged, opts))
     if with_bags:
-        fitted = posts if opts.fit_on == "all" else split.training_rows(tagged)
-        number = fitted.count() if opts.algorithm == IDF_ALGORITHM else 0
+        number = seen["posts"] if opts.fit_on == "all" else seen["learned"]
         bags = features.bag_table(tagged, lookups["vocabulary"], opts, number)
         rows = features.fill_bags(samples.attach_features(rows, bags), opts)
     lookups["shard_counts"] = samples.shard_counts(tagged)
     sharded = samples.shard_by_hash(rows, lookups["shard_counts"], opts.rows_per_shard)
-    return Prepared(sharded, lookups)
+    return Prepared(sharded, lookups, totals)
 
 
-def run(spark: SparkSession, source: str, output: str, opts: Options) -> Prepared:
+def run(spark: SparkSession, source: str, output: str, opts: Options, committed: bool = False) -> Prepared:
     """Read the CSV posts of ``source``, prepare them and write everything to ``output``.
 
+    With ``committed`` the sample table is written under a manifest, so that a run
+    that dies leaves the samples of the last one readable.
+
     What is returned reads intermediate tables, which go when the application
     ends or with :func:`tagweave.sources.tables.clear`.
 
@@ -112,7 +132,8 @@ def run(spark: SparkSession, source: str, output: str, opts: Options) -> Prepare
     text = readers.read_post_text(spark, source, opts.dotall)
     tag_rows = readers.read_post_tags(spark, source)
     prepared = prepare(text, tag_rows, opts)
-    sinks.write_samples(prepared.samples, output, opts)
+    write = sinks.commit_samples if committed else sinks.write_samples
+    write(prepared.samples, output, opts)
     sinks.write_lookups(prepared.lookups, output, opts)
     sinks.write_report(prepared.report(), output)
     return prepared

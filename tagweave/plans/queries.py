@@ -17,6 +17,7 @@ from tagweave.options import Options
 from tagweave.plans.prepare import Prepared
 from tagweave.plans.prepare import prepare as prepare_posts
 from tagweave.sources import adapters, posts, sinks
+from tagweave.sources.manifest import manifest
 from tagweave.sources.tables import materialize, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +32,6 @@ LABEL_RULES = Options(support_count=20, min_confidence=0.7, normalize=True, lowe
 SHARD_ROWS = 100
 SAMPLE_SHARE, SAMPLE_SEED = 0.1, 7
 LOOKED_UP = 77
-REPORT_PARTS = 4
 TAG_FRACTION = 0.5
 LABEL_CAP = 5
 NGRAM = 2
@@ -753,9 +753,32 @@ def multi_label(spark, folder):
 
 @query
 def partition_report(spark, folder):
-    """A report that no layout changes: partitions and rows after an explicit division."""
-    dealt = _samples(spark, folder).repartition(REPORT_PARTS)
-    return quality.partition_sizes(dealt).agg(F.count("*").alias("partitions"), F.sum("rows").alias("rows"))
+    """The sample table's files as they lie: per domain, set and shard."""
+    output = new_path(spark, "output")
+    rows = _samples(spark, folder)
+    sinks.write_samples(samples.shard_by_hash(rows, samples.shard_counts(rows), SHARD_ROWS), output, DEFAULTS)
+    report = quality.layout_report(spark.read.parquet(f"{output}/dataset"), list(sinks.SAMPLE_LAYOUT))
+    return report.select("domain", "set", F.col("rng").cast("long").alias("rng"), "files", "rows", "largest")
+
+
+@query
+def sample_manifest(spark, folder):
+    """A committed sample table whose overwrite fails half-way: rows and id ranges by manifest, and the rows still read."""
+    output = new_path(spark, "output")
+    rows = samples.shard_by_hash(_samples(spark, folder), samples.shard_counts(_text(spark, folder)), SHARD_ROWS)
+    sinks.commit_samples(rows, output, DEFAULTS)
+    broken = F.when(F.col("uniqueID") % 50 == 7, F.raise_error(F.lit("a task fails"))).otherwise(F.col("domain"))
+    try:
+        sinks.commit_samples(rows.withColumn("domain", broken.cast("string")), output, DEFAULTS)
+    except Exception as failure:
+        if "a task fails" not in str(failure):
+            raise
+    files = manifest(spark, f"{output}/dataset")
+    listed = files.groupBy(F.col("partition.domain").alias("domain"), F.col("partition.set").alias("set")).agg(
+        F.sum("rows").alias("rows"), F.min(F.col("least").cast("long")).alias("least"), F.max(F.col("most").cast("long")).alias("most")
+    )
+    read = posts.read_samples(spark, output).groupBy("domain", "set").agg(F.count("*").alias("read"))
+    return listed.join(read, ["domain", "set"], "left")
 
 
 @query

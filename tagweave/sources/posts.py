@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagweave.functions.text import strip_carriage_return, strip_math
+from tagweave.sources.manifest import last_version, read_committed
 from tagweave.sources.quoted_csv import read_quoted_csv
 from tagweave.sources.tables import spread
 
@@ -79,8 +80,12 @@ def distinct_domains(posts: DataFrame) -> DataFrame:
 def read_samples(
     spark: SparkSession, output: str, domain: str | None = None, set_name: str | None = None
 ) -> DataFrame:
-    """Sample table, optionally one domain and one set of it (partition pruning)."""
-    samples = spark.read.parquet(f"{output}/dataset")
+    """Sample table, optionally one domain and one set of it (partition pruning).
+
+    If the table has committed versions, the last of them.
+    """
+    folder = f"{output}/dataset"
+    samples = read_committed(spark, folder) if last_version(spark, folder) else spark.read.parquet(folder)
     wanted: list[Column] = []
     if domain is not None:
         wanted.append(F.col("domain") == domain)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.operators.mining import item_appearances, signed_items, transaction_lines
 from tagweave.operators.samples import flatten_samples
 from tagweave.options import SET_NAMES, Options
+from tagweave.sources.manifest import commit_table
 
 SAMPLE_LAYOUT = ("domain", "set", "rng")
 
@@ -32,6 +31,11 @@ def write_samples(samples: DataFrame, output: str, opts: Options, summary_metada
         writer.parquet(f"{output}/dataset")
 
 
+def commit_samples(samples: DataFrame, output: str, opts: Options) -> int:
+    """The sample table as the next version under a manifest; Parquet only. Gives the version."""
+    return commit_table(samples, f"{output}/dataset", SAMPLE_LAYOUT, "uniqueID", opts.max_records_per_file)
+
+
 def write_lookup(
     df: DataFrame,
     path: str,
@@ -60,24 +64,17 @@ def write_lookups(tables: dict[str, DataFrame], output: str, opts: Options, sing
     )
 
 
-def run_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Statistics of a run: ``metric, key, value``."""
+# What the report calls the totals of a run.
+TOTALS = {"dictionary": "dictionary_tokens", "global_tags": "global_tags", "samples": "samples", "vocabulary": "bag_vocabulary"}
 
-    def total(name: str, metric: str, value=None) -> DataFrame:
-        amount = F.count("*") if value is None else F.coalesce(F.sum(value), F.lit(0))
-        return tables[name].agg(amount.alias("value")).select(F.lit(metric).alias("metric"), F.lit("").alias("key"), "value")
 
-    per_domain = tables["domain_tags"].groupBy("domain").agg(F.count("tag").alias("value")).select(
+def run_report(domain_tags: DataFrame, totals: dict[str, int]) -> DataFrame:
+    """Statistics of a run: ``metric, key, value``; the totals were counted as the tables were written."""
+    per_domain = domain_tags.groupBy("domain").agg(F.count("tag").alias("value")).select(
         F.lit("tags_in_domain").alias("metric"), F.col("domain").alias("key"), "value"
     )
-    parts = [
-        per_domain,
-        total("dictionary", "dictionary_tokens"),
-        total("global_tags", "global_tags"),
-        total("shard_counts", "samples", "rows"),
-        total("vocabulary", "bag_vocabulary"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = [(metric, "", totals[name]) for name, metric in TOTALS.items()]
+    return per_domain.unionByName(domain_tags.sparkSession.createDataFrame(rows, "metric string, key string, value long"))
 
 
 def write_report(report: DataFrame, output: str) -> None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 _used: set[str] = set()
@@ -53,6 +53,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_observed(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, Row]:
+    """:func:`materialize`, and aggregates over the rows that come along with the write: no job of their own."""
+    seen = Observation()
+    written = materialize(df.observe(seen, *[column.alias(name) for name, column in metrics.items()]), label)
+    return written, Row(**seen.get)
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Give every core work when the input comes in few splits.
 
