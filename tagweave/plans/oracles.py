@@ -610,7 +610,7 @@ ORACLES["partition_report"] = """
 SELECT domain, "set", rng, 1::BIGINT AS files, count(*) AS "rows", count(*) AS largest FROM c_small_shard GROUP BY domain, "set", rng"""
 ORACLES["sample_manifest"] = """
 SELECT domain, "set", count(*) AS "rows", min("uniqueID") AS least, max("uniqueID") AS most, count(*) AS read
-FROM c_sample GROUP BY domain, "set""""
+FROM c_sample GROUP BY domain, "set\""""
 ORACLES["post_by_id"] = f'SELECT "uniqueID", title, domain FROM c_text WHERE "uniqueID" = {LOOKED_UP}'
 _SAMPLED = _draw('"uniqueID"', Options(seed=SAMPLE_SEED))
 ORACLES["post_sample"] = f"""
