@@ -581,6 +581,12 @@ UNION ALL
 SELECT "set", 'head', count(DISTINCT label), sum(DISTINCT label)::BIGINT
 FROM (SELECT "set", unnest(labels) AS label FROM c_item) GROUP BY "set\""""
 
+_NAMES = "list_transform(tokens, lambda t: 't:' || t) || list_transform(labels, lambda r: 'l:' || r)"
+ORACLES["transaction_contents"] = f'SELECT "set", {_sorted_text(_NAMES)} AS items FROM c_item'
+ORACLES["appearance_contents"] = f"""
+SELECT DISTINCT "set", name, CASE WHEN name LIKE 't:%' THEN 'body' ELSE 'head' END AS role
+FROM (SELECT "set", unnest({_NAMES}) AS name FROM c_item)"""
+
 # Sources and sinks
 
 ORACLES["csv_post_text"] = 'SELECT "uniqueID", title, body, domain FROM c_text'

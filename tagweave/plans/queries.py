@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ from tagweave.functions.hashing import hash_tokens
 from tagweave.functions.stemming import stem_tokens
 from tagweave.operators import class_rules, dictionary, features, mining, quality, samples, split, tags
 from tagweave.operators import text as tx
-from tagweave.options import Options
+from tagweave.operators.lookup import heavy_by_count, lookup
+from tagweave.operators.rows import explode_rows
+from tagweave.options import SET_NAMES, Options
 from tagweave.plans.prepare import Prepared
 from tagweave.plans.prepare import prepare as prepare_posts
 from tagweave.sources import adapters, posts, sinks
@@ -675,6 +678,47 @@ def appearances(spark, folder):
     )
 
 
+def _exported(spark, folder) -> tuple[str, DataFrame]:
+    """Exported files, and what each exported token number spells: ``item, token, n``."""
+    output = new_path(spark, "export")
+    sinks.write_transactions(materialize(_samples(spark, folder), "samples"), output)
+    words = tx.item_counts(tx.merge_fields(_tokens(spark, folder)), "titleBody", [], "token")
+    words = words.groupBy("token").agg(F.count("*").alias("n"))
+    number = -F.abs(hash_tokens(F.array("token"), DEFAULTS.hash_method)[0])
+    return output, materialize(words.select(number.cast("string").alias("item"), "token", "n"), "spelling")
+
+
+def _spelled(rows: DataFrame, spelling: DataFrame, spread: str) -> DataFrame:
+    """Add ``name``: a label's rank, or the token behind an exported number."""
+    found = lookup(rows, spelling.select("item", "token", "n"), ["item"], heavy_by_count(spelling, "n"), spread)
+    return found.withColumn("name", F.coalesce(F.concat(F.lit("t:"), "token"), F.concat(F.lit("l:"), "item")))
+
+
+@query
+def transaction_contents(spark, folder):
+    """Every line of the exported files, its numbers turned back to tokens."""
+    output, spelling = _exported(spark, folder)
+    lines = [spark.read.text(f"{output}/{name.lower()}.transactions").withColumn("set", F.lit(name)) for name in SET_NAMES]
+    numbered = reduce(DataFrame.unionByName, lines).withColumn("row", F.monotonically_increasing_id())
+    items = F.filter(F.split("value", " "), lambda i: i != "")
+    exploded = explode_rows(materialize(numbered, "lines"), ["set", "row"], items, "item", outer=True)
+    names = F.collect_list(F.when(F.col("item").isNotNull(), F.col("name")))
+    return _spelled(exploded, spelling, "row").groupBy("set", "row").agg(_as_text(names).alias("items")).drop("row")
+
+
+@query
+def appearance_contents(spark, folder):
+    """Every exported appearance, its number turned back to the token."""
+    output, spelling = _exported(spark, folder)
+    read = [
+        spark.read.option("header", True).option("quote", "").csv(f"{output}/{name.lower()}.appearances").withColumn("set", F.lit(name))
+        for name in SET_NAMES
+    ]
+    both = F.split("both", " ")
+    rows = reduce(DataFrame.unionByName, read).select("set", both[0].alias("item"), both[1].alias("role"))
+    return _spelled(rows, spelling, "item").select("set", "name", "role")
+
+
 # Sources and sinks, written and read back
 
 
