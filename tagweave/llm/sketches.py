@@ -32,13 +32,14 @@ from tagweave.sources.tables import materialize
 
 SHINGLE = 5
 PERCENT = 75
-KNOWN_WORDS = 150_000
+KNOWN_WORDS = 100_000
 ENTRIES_PER_BUCKET = 1_000_000
 SEEDS = 4
 GROUP_PIECE = 2_000
 PAIRS_AT_ONCE = 256
+PAIRS_KNOWN = 200_000
 ROWS_AT_ONCE = 64
-ENTRIES_AT_ONCE = 500_000
+ENTRIES_AT_ONCE = 300_000
 
 _U = np.uint64
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15 + 0x3C6EF372FE94F82A * i | 1 for i in range(SHINGLE)], dtype=object)
@@ -319,15 +320,18 @@ def _verify(pairs: DataFrame, rows: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within a piece of a block; rows come sorted by piece."""
-    key, rows = None, []
+    """Pairs of different components within a piece of a block; rows come sorted by piece.
+
+    Sets that share one block share many: a pair that this task gave lately is not given again.
+    """
+    key, rows, given = None, [], set()
     names = ("tag", "one", "two", "cls", "n", "component", "side", "sketch")
 
     def flush() -> pa.RecordBatch:
         shortest = 64 * min(len(r[7]) // 8 for r in rows)
         words = np.stack([fold(np.frombuffer(r[7], _U), shortest) for r in rows])
         cls, n, comp, side = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5, 6))
-        a, b = [], []
+        found: list[tuple[int, int]] = []
         for i in range(len(rows) - 1):
             rest = slice(i + 1, None)
             different = comp[rest] != comp[i]
@@ -337,9 +341,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = i + 1 + np.flatnonzero(different)
                 bits = np.bitwise_count(words[at] ^ words[i]).sum(1).astype(np.int64)
                 at = at[_close(n[i], n[at], bits)]
-                a += [int(cls[i])] * len(at)
-                b += cls[at].tolist()
-        return to_batch({"a": a, "b": b}, "a long, b long")
+                one = int(cls[i])
+                found += [(one, x) if one < x else (x, one) for x in cls[at].tolist()]
+        new = set(found) - given
+        if len(given) > PAIRS_KNOWN:
+            given.clear()
+        given.update(new)
+        return to_batch({"a": [a for a, _ in new], "b": [b for _, b in new]}, "a long, b long")
 
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
@@ -374,7 +382,7 @@ def _unsettled(led: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame
         "tag", "cls", "side", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     ).select("tag", "cls", "side", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"))
     full = pieces.join(known, "cls").repartition("tag", "one", "two").sortWithinPartitions("tag", "one", "two", "cls")
-    return full.mapInArrow(_compare, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return full.mapInArrow(_compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -399,11 +407,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     # The original of many copies shares most blocks, so it leads all of them.
     first = F.max_by("cls", F.struct("degree", "cls"))
-    leaders = materialize(shared.join(degrees, "cls").groupBy("tag").agg(first.alias("a")), "sketch-leaders")
+    leaders = materialize(shared.join(degrees, "cls").groupBy("tag").agg(first.alias("a"), F.max("degree").alias("reach")), "sketch-leaders")
     led = materialize(shared.join(leaders, "tag").where("a != cls"), "sketch-led")
-    stars = led.select("a", F.col("cls").alias("b")).distinct()
+    # First each set meets one leader only, the one that shares most: as many pairs as sets.
+    # Then it meets its other leaders, but for those that this has joined it to.
+    best = led.groupBy("cls").agg(F.max_by("a", F.struct("reach", "a")).alias("a"))
+    stars = best.select("a", F.col("cls").alias("b"))
     links = _verify(materialize(_screen(stars, nodes), "sketch-pairs"), rows, members)
     groups = components(links)
+    of = lambda side: groups.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+    others = led.select("a", F.col("cls").alias("b")).distinct().join(of("a"), "a", "left").join(of("b"), "b", "left")
+    apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
+    others = materialize(others.where(apart).select("a", "b").join(stars, ["a", "b"], "left_anti"), "sketch-stars")
+    if not others.isEmpty():
+        links = materialize(links.unionByName(_verify(materialize(_screen(others, nodes), "sketch-pairs"), rows, members)), "sketch-links")
+        groups = components(links)
     more = materialize(_unsettled(led.select("tag", "cls"), nodes, groups), "sketch-pairs")
     if not more.isEmpty():
         groups = components(links.unionByName(_verify(more, rows, members)))
