@@ -360,8 +360,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _unsettled(led: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Screened pairs of blocks whose sets, besides the leader, lie in several components.
+def _unsettled(shared: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Screened pairs of blocks whose sets lie in several components.
 
     A block of more than ``GROUP_PIECE`` sets is dealt into parts, and every two
     parts meet in a task of their own, so no task's memory grows with a block.
@@ -369,7 +369,7 @@ def _unsettled(led: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame
     known = nodes.join(groups, F.col("cls") == F.col("node"), "left").select(
         "cls", "n", "sketch", F.coalesce("component", "cls").alias("component")
     )
-    rows = materialize(led.join(known.select("cls", "component"), "cls"), "sketch-blocks")
+    rows = materialize(shared.join(known.select("cls", "component"), "cls"), "sketch-blocks")
     open_blocks = materialize(
         rows.groupBy("tag")
         .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size"))
@@ -409,20 +409,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = F.max_by("cls", F.struct("degree", "cls"))
     leaders = materialize(shared.join(degrees, "cls").groupBy("tag").agg(first.alias("a"), F.max("degree").alias("reach")), "sketch-leaders")
     led = materialize(shared.join(leaders, "tag").where("a != cls"), "sketch-led")
-    # First each set meets one leader only, the one that shares most: as many pairs as sets.
-    # Then it meets its other leaders, but for those that this has joined it to.
+    # Each set meets one leader only, the one that shares most: as many pairs as sets.
+    # All other pairs that may connect groups are screened inside pieces of blocks.
     best = led.groupBy("cls").agg(F.max_by("a", F.struct("reach", "a")).alias("a"))
     stars = best.select("a", F.col("cls").alias("b"))
     links = _verify(materialize(_screen(stars, nodes), "sketch-pairs"), rows, members)
     groups = components(links)
-    of = lambda side: groups.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
-    others = led.select("a", F.col("cls").alias("b")).distinct().join(of("a"), "a", "left").join(of("b"), "b", "left")
-    apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
-    others = materialize(others.where(apart).select("a", "b").join(stars, ["a", "b"], "left_anti"), "sketch-stars")
-    if not others.isEmpty():
-        links = materialize(links.unionByName(_verify(materialize(_screen(others, nodes), "sketch-pairs"), rows, members)), "sketch-links")
-        groups = components(links)
-    more = materialize(_unsettled(led.select("tag", "cls"), nodes, groups), "sketch-pairs")
+    more = materialize(_unsettled(shared, nodes, groups), "sketch-pairs")
     if not more.isEmpty():
         groups = components(links.unionByName(_verify(more, rows, members)))
     placed = members.join(groups, F.col("cls") == F.col("node"), "left").select(
