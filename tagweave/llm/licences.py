@@ -11,6 +11,7 @@ priority and longer, is dropped.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -108,8 +109,9 @@ _NAMES = (
 )
 # Phrasings, by falling priority: what stands around a name, and a score.
 _PHRASINGS = (
-    (4, 1.0, r"spdx-license-identifier:? *{ident}\b", True),
-    (3, 0.95, r"(?:licensed|released|distributed|published|available|provided) (?:under|by) (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{name}(?: licen[cs]e)?", False),
+    (4, 1.0, r"spdx-license-identifier:? *\(?{ident}(?:-only|-or-later|\+)?(?![a-z0-9.+-])", True),
+    (4, 1.0, r"spdx-license-identifier:? *(?:\(?[a-z0-9.+-]{1,40}\)?\s+(?:or|and|with)\s+){1,5}\(?({ident}(?:-only|-or-later|\+)?)(?![a-z0-9.+-])", True),
+    (3, 0.95, r"(?:licensed|released|distributed|published|available|provided) under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{name}(?![a-z0-9])(?: licen[cs]e)?", False),
     (3, 0.9, r"licen[cs]e: *{name}\b", False),
     (2, 0.7, r"{name} licen[cs]e", False),
     (2, 0.6, r"licen[cs]ed {name}\b", False),
@@ -125,6 +127,55 @@ _PASSAGES = (
     ("public-domain", "public domain", r"(?:released|dedicated|placed) (?:in|into|to) the public domain"),
     ("proprietary", "all rights reserved", r"all rights reserved"),
 )
+# Signatures of single licences that stand by themselves: how each is quoted,
+# headed, abbreviated or linked.
+_SIGNATURES = (
+    ("gpl-2.0", "gpl", r"gpl,? ?(?:version|ver\.?|v\.?) ?2(?:\.0)?(?![.0-9])"),
+    ("gpl-2.0", "gplv2", r"gplv2(?:\+|\.0)?(?![.0-9])"),
+    ("gpl-2.0", "either version license", r"general public license[^.]{0,200}? either version 2 of the license"),
+    ("gpl-2.0", "gnu licenses", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
+    ("gpl-3.0", "gpl", r"gpl,? ?(?:version|ver\.?|v\.?) ?3(?:\.0)?(?![.0-9])"),
+    ("gpl-3.0", "gplv3", r"gplv3(?:\+|\.0)?(?![.0-9])"),
+    ("gpl-3.0", "either version license", r"general public license[^.]{0,200}? either version 3 of the license"),
+    ("gpl-3.0", "gnu licenses", r"gnu\.org/licenses/gpl(?:-3\.0)?(?:\.html|\.txt)?(?![-a-z0-9])"),
+    ("lgpl-2.1", "lgpl", r"lgpl,? ?(?:version |v\.? ?|-)?2\.1(?![.0-9])"),
+    ("lgpl-2.1", "gnu licenses", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"),
+    ("lgpl-3.0", "lgpl", r"lgpl,? ?(?:version |v\.? ?|-)?3(?:\.0)?(?![.0-9])"),
+    ("lgpl-3.0", "gnu licenses", r"gnu\.org/licenses/lgpl-3\.0"),
+    ("agpl-3.0", "agpl", r"agpl,? ?(?:version |v\.? ?|-)?3(?:\.0)?(?![.0-9])"),
+    ("agpl-3.0", "gnu licenses", r"gnu\.org/licenses/agpl-3\.0"),
+    ("apache-2.0", "apache licenses", r"apache\.org/licenses/license-2\.0"),
+    ("apache-2.0", "apache license version", r"apache license\s*,? version 2\.0, january 2004"),
+    ("mit", "opensource", r"opensource\.org/licen[cs]es?/mit(?![-a-z0-9])"),
+    ("mit", "choosealicense", r"choosealicense\.com/licenses/mit(?![-a-z0-9])"),
+    ("mit", "permission notice substantial", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("bsd-2-clause", "bsd clause", r"bsd(?:-|\s+)2(?:-|\s+)clause(?: \"simplified\")? licen[cs]e"),
+    ("bsd-3-clause", "bsd clause", r"bsd(?:-|\s+)3(?:-|\s+)clause(?: \"(?:new|revised)\"(?: or \"(?:new|revised)\")?)? licen[cs]e"),
+    ("bsd-3-clause", "opensource", r"opensource\.org/licen[cs]es?/bsd-3-clause"),
+    ("bsd-3-clause", "endorse", r"neither the name of [^.]{1,120}? nor the names of (?:its|their) contributors may be used to endorse"),
+    ("cc-by-4.0", "cc by 4.0", r"cc(?:-|\s+)by(?:-|\s+)4\.0(?![.0-9])"),
+    ("cc-by-4.0", "creativecommons", r"creativecommons\.org/licenses/by/4\.0"),
+    ("cc-by-sa-4.0", "cc by 4.0", r"cc(?:-|\s+)by(?:-|\s+)sa(?:-|\s+)4\.0(?![.0-9])"),
+    ("cc-by-sa-4.0", "creativecommons", r"creativecommons\.org/licenses/by-sa/4\.0"),
+    ("cc-by-sa-4.0", "creative commons", r"creative commons attribution(?:-|\s+)share ?alike 4\.0 international"),
+    ("cc-by-nc-4.0", "cc by 4.0", r"cc(?:-|\s+)by(?:-|\s+)nc(?:-|\s+)4\.0(?![.0-9])"),
+    ("cc-by-nc-4.0", "creativecommons", r"creativecommons\.org/licenses/by-nc/4\.0"),
+    ("cc-by-nc-sa-4.0", "cc by 4.0", r"cc(?:-|\s+)by(?:-|\s+)nc(?:-|\s+)sa(?:-|\s+)4\.0(?![.0-9])"),
+    ("cc-by-nd-4.0", "cc by 4.0", r"cc(?:-|\s+)by(?:-|\s+)nd(?:-|\s+)4\.0(?![.0-9])"),
+    ("cc-by-3.0", "cc by 3.0", r"cc(?:-|\s+)by(?:-|\s+)3\.0(?![.0-9])"),
+    ("cc-by-3.0", "creativecommons", r"creativecommons\.org/licenses/by/3\.0"),
+    ("cc-by-sa-3.0", "cc by 3.0", r"cc(?:-|\s+)by(?:-|\s+)sa(?:-|\s+)3\.0(?![.0-9])"),
+    ("cc0-1.0", "creativecommons", r"creativecommons\.org/publicdomain/zero/1\.0"),
+    ("mpl-2.0", "mozilla", r"mozilla\.org/(?:en-us/)?mpl/2\.0"),
+    ("mpl-2.0", "mpl 2.0", r"mpl(?:-|\s+)?(?:v|version )?2\.0(?![.0-9])"),
+    ("epl-2.0", "eclipse legal", r"eclipse\.org/legal/epl-(?:v)?2"),
+    ("unlicense", "unlicense", r"unlicense\.org"),
+    ("wtfpl", "do what the you want to", r"do what the f[a-z*]{2,3} you want to public license"),
+    ("bsl-1.0", "boost license_1_0", r"boost\.org/license_1_0\.txt"),
+    ("isc", "opensource", r"opensource\.org/licen[cs]es?/isc(?![-a-z0-9])"),
+    ("zlib", "altered", r"altered source versions must be plainly marked as such"),
+    ("ofl-1.1", "scripts.sil.org", r"scripts\.sil\.org/ofl"),
+)
 
 
 @dataclass(frozen=True)
@@ -151,8 +202,9 @@ def _loose(pattern: str) -> str:
 
 
 def build_rules() -> tuple[Rule, ...]:
-    """All signatures in order: passages, then every name in every phrasing, by priority."""
+    """All signatures in order: passages, single signatures, then every name in every phrasing, by priority."""
     rules = [Rule(label, word, re.compile(_loose(text)), 5, 1.0) for label, word, text in _PASSAGES]
+    rules += [Rule(label, word, re.compile(r"(?<![a-z0-9])" + _loose(text)), 3, 0.9) for label, word, text in _SIGNATURES]
     for ident, word, name in _NAMES:
         label = ident.removesuffix("-short")
         for priority, score, phrase, by_ident in _PHRASINGS:
@@ -179,12 +231,29 @@ def _machine():
     return rules, gates, automaton
 
 
+def hits_of(rule: Rule, lowered: str) -> list[Hit]:
+    """A rule's matches; of an operand behind others in an expression, the operand alone."""
+    part = rule.pattern.groups
+    return [Hit(rule.label, *m.span(part), rule.priority, rule.score) for m in rule.pattern.finditer(lowered)]
+
+
 def suppress(hits: Iterable[Hit]) -> list[Hit]:
-    """Drop every hit inside a kept one that comes earlier by priority, length, place and label."""
+    """Drop every hit inside a kept one that comes earlier by priority, length, place and label.
+
+    The outermost intervals kept so far stand in a row in which starts and ends
+    both rise, so one search tells whether any of them holds a hit.
+    """
     kept: list[Hit] = []
+    starts: list[int] = []
+    ends: list[int] = []
     for h in sorted(hits, key=lambda h: (-h.priority, h.start - h.end, h.start, h.label)):
-        if not any(k.start <= h.start and h.end <= k.end for k in kept):
-            kept.append(h)
+        at = bisect_right(starts, h.start)
+        if at and ends[at - 1] >= h.end:
+            continue
+        kept.append(h)
+        first = bisect_left(starts, h.start)
+        last = bisect_right(ends, h.end)  # those between lie inside this one
+        starts[first:last], ends[first:last] = [h.start], [h.end]
     return sorted(kept, key=lambda h: (h.start, h.end))
 
 
@@ -195,7 +264,7 @@ def scan(lowered: str) -> list[Hit]:
     wanted = sorted(i for sets, numbers in gates if any(words <= there for words in sets) for i in numbers)
     hits: list[Hit] = []
     for rule in (rules[i] for i in wanted):
-        hits += [Hit(rule.label, *m.span(), rule.priority, rule.score) for m in rule.pattern.finditer(lowered)]
+        hits += hits_of(rule, lowered)
     return suppress(hits)
 
 
