@@ -126,11 +126,12 @@ class _Rows:
 
 def _first_level(docs: DataFrame, tokenizer: str, end_id: int, **limits: int) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer).encode_all, np.array([end_id], "<u4").tobytes()
         packer, rows = Packer(**limits), _Rows(0, TaskContext.get().partitionId())
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = encode(text.as_py()) + end
+            texts = (text.as_py() for text in batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts), strict=True):
+                ids += end
                 for window in packer.add(Piece(doc_id, 0, len(ids) // 4, ids)):
                     rows.window(window)
                 if len(rows.columns["part"]) >= ROWS_AT_ONCE:

@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHED_CHUNKS = 500_000
+# Chunks of a generation of the cache; two generations are kept.
+CACHED_CHUNKS = 300_000
+# Characters of texts that are encoded in one call.
+CALL_CHARS = 200_000
 
 # Characters whose class no Unicode version changed.
 _UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
@@ -52,27 +55,18 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._known: dict[str, bytes] = {"": b""}
-        self._once: set[str] = set()
+        # Chunks met lately, in two generations: the older one is dropped whole.
+        self._recent: dict[str, bytes] = {"": b""}
+        self._older: dict[str, bytes] = {}
         (self._line_end,) = np.frombuffer(self.direct(["\n"])[0], "<u4")
 
     def direct(self, texts: Sequence[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _make_room(self) -> None:
-        """When there are too many, forget what was met in one text only; that is most of it."""
-        if len(self._known) > CACHED_CHUNKS:
-            if len(self._once) < CACHED_CHUNKS // 3:
-                self._known = {"": b""}
-            else:
-                for chunk in self._once:
-                    del self._known[chunk]
-            self._once = set()
-
     def _learn(self, chunks: set[str]) -> None:
         """Encode what was not seen lately: many chunks in one call, apart by line ends."""
-        known = self._known
+        known = self._recent
         some = [c for c in chunks if not c.isspace()]
         if some:
             (joined,) = self.direct(["\n".join(some)])
@@ -82,21 +76,42 @@ class Encoder:
         white = [c for c in chunks if c.isspace()]
         known.update(zip(white, self.direct(white), strict=True))
 
-    def encode(self, text: str) -> bytes:
+    def _chunks(self, text: str) -> list[str] | None:
         if _UNUSUAL.search(text) or any(x in text for x in self._added):
-            return self.direct([text])[0]
+            return None
         if any(x in text for x in _WHITE_RUNS):
-            chunks = _PIECE.findall(text)
-        else:  # every single space begins a piece, and every single line end is one
-            chunks = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        self._make_room()
-        met = set(chunks)
-        self._once -= met
-        new = met.difference(self._known)
+            return _PIECE.findall(text)
+        # Every single space begins a piece, and every single line end is one.
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+
+    def encode_some(self, texts: Sequence[str]) -> list[bytes]:
+        """The ids of each text; what is new in all of them goes to the tokenizer in one call."""
+        if len(self._recent) > CACHED_CHUNKS:
+            self._older, self._recent = self._recent, {"": b""}
+        cut = [self._chunks(text) for text in texts]
+        new = set().union(*(c for c in cut if c is not None)).difference(self._recent)
+        again = new & self._older.keys()
+        self._recent.update(zip(again, map(self._older.__getitem__, again), strict=True))
+        new -= again
         if new:
             self._learn(new)
-            self._once |= new
-        return b"".join(map(self._known.__getitem__, chunks))
+        whole = iter(self.direct([text for text, c in zip(texts, cut, strict=True) if c is None]))
+        ids_of = self._recent.__getitem__
+        return [next(whole) if c is None else b"".join(map(ids_of, c)) for c in cut]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_some([text])[0]
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text in turn, by calls of about ``CALL_CHARS`` characters."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= CALL_CHARS:
+                yield from self.encode_some(some)
+                some, size = [], 0
+        yield from self.encode_some(some)
 
 
 def encoder(name: str) -> Encoder:
