@@ -123,6 +123,7 @@ class Ledger:
         return sorted(self._own | {path for path in paths if files.exists(new(f"{path}/_SUCCESS"))})
 
     def findings(self) -> DataFrame:
+        """What all complete runs found, each (blob, rules) pair once; no rows of an empty ledger."""
         runs = self.runs()
         if not runs:
             return self.spark.createDataFrame([], FINDINGS)

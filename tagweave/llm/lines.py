@@ -24,9 +24,9 @@ FEWEST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 LEAST_CONTENT_SHARE = 0.5
 
-# Bounds of the sample the chain is fitted to.
+# Bounds of the sample the chain is fitted to: whole documents, none of more lines.
 FIT_DOCUMENTS = 2_000
-FIT_LINES = 48
+FIT_LINES = 200
 
 _WORD = re.compile(WORD)
 _UPPER = re.compile(r"[A-Z]+")
@@ -108,14 +108,13 @@ def fit_chain(sequences: list[list[list[int]]], labels: list[int], steps: int =
     if not sequences:
         return ALL_CONTENT
     n, longest = len(sequences), max(map(len, sequences))
-    features = np.zeros((n, longest, len(BINS)), np.int64)
     there = np.zeros((n, longest), bool)
     for i, lines in enumerate(sequences):
-        features[i, : len(lines)] = lines
         there[i, : len(lines)] = True
+    features = np.array([line for lines in sequences for line in lines], np.int64)
     y = np.asarray(labels)
     emit, start, move = np.zeros(N_WEIGHTS), np.zeros(2), np.zeros((2, 2))
-    flat = features[there].ravel()
+    flat = features.ravel()
     pairs = there[:, 1:]
     seen_emit = np.bincount(flat, np.repeat(y[np.nonzero(there)[0]], len(BINS)).astype(float), N_WEIGHTS)
     seen_start = np.bincount(y, minlength=2).astype(float)
@@ -124,7 +123,7 @@ def fit_chain(sequences: list[list[list[int]]], labels: list[int], steps: int =
     square = [np.zeros_like(w) for w in (emit, start, move)]
     for step in range(1, steps + 1):
         score = np.zeros((n, longest, 2))
-        score[:, :, 1] = emit[features].sum(-1)
+        score[there, 1] = emit[features].sum(-1)
         ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
         ahead[:, 0] = start + score[:, 0]
         for t in range(1, longest):
@@ -167,7 +166,8 @@ def _lines(text: str) -> tuple[list[list[int]], list[int], int]:
 
 
 def _fit_rows(batch: pa.RecordBatch, most_lines: int) -> dict:
-    found = [_lines(text)[0][:most_lines] for text in batch.column("text").to_pylist()]
+    found = [_lines(text)[0] for text in batch.column("text").to_pylist()]
+    found = [x if len(x) <= most_lines else [] for x in found]
     flat = [np.asarray(x, np.uint8).tobytes() for x in found]
     return {"doc_id": batch.column("doc_id"), "quality": batch.column("quality"), "features": flat}
 
@@ -182,8 +182,10 @@ def fit(
 ) -> Chain:
     """Fit to at most ``most_documents`` labelled documents, the first by a hash of their id.
 
-    A document with several labels counts as bad if one of them says so. Without
-    usable labels every line is content.
+    The documents are whole; one of more than ``most_lines`` lines with a word is
+    left out of the sample. Of several rows with one id, the text of least hash
+    stands for it. A document with several labels counts as bad if one of them
+    says so. Without usable labels every line is content.
     """
     wanted = (
         labels.select(labels[id_col].alias("of"), labels["quality"].cast("int").alias("quality"))
@@ -193,7 +195,9 @@ def fit(
         .orderBy(F.xxhash64("of"), "of")
         .limit(most_documents)
     )
-    sample = slim(docs, id_col, text_col).join(F.broadcast(wanted), F.col("doc_id") == F.col("of"))
+    labelled = slim(docs, id_col, text_col).join(F.broadcast(wanted), F.col("doc_id") == F.col("of"))
+    one_text = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    sample = labelled.groupBy("doc_id").agg(F.first("quality").alias("quality"), one_text)
     rows = map_batches(
         sample.select("doc_id", "quality", "text"), _fit_rows, "doc_id long, quality int, features binary", most_lines=most_lines
     ).collect()
@@ -260,7 +264,11 @@ def judge_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_
 
 
 def keep_documents(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text is kept, with all their columns."""
+    """The rows of ``docs`` whose text is kept, with all their columns, whatever their names.
+
+    A null text has no words and goes, as does any text of fewer than 50 words.
+    Repeated rows and rows without id are judged one by one; an empty table stays empty.
+    """
 
     def keep(batches):
         for batch in batches:
@@ -271,7 +279,7 @@ def keep_documents(docs: DataFrame, chain: Chain, text_col: str = "text") -> Dat
 
 
 def content_text(text: str, chain: Chain) -> str:
-    """The text's content lines."""
+    """The text's content lines, in order; nothing of a text without words."""
     lines = [line for line in text.split("\n") if line.strip(SPACES)]
     labels = chain.decode(_lines(text)[0])
     return "\n".join(line for line, label in zip(lines, labels, strict=True) if label)

@@ -55,10 +55,10 @@ def write_token_files(
     ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys, "text").select("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer).encode_all, np.array([end_id], "<u4").tobytes()
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = [encode(text) + end for text in batch.column("text").to_pylist()]
+            ids = [x + end for x in encode(batch.column("text").to_pylist())]
             sizes = np.array([len(x) // 4 for x in ids], np.int64)
             ends = np.cumsum(sizes)
             lists = pa.ListArray.from_arrays(
@@ -82,7 +82,9 @@ def write_token_files(
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids of every document, from the files.
 
-    The window runs over one total per written partition, not over documents.
+    The window runs over one total per written partition, not over documents. Rows
+    of one id, or of none, are apart; a folder that was written from an empty table
+    gives an empty one.
     """
     rows = spark.read.schema(SCHEMA).orc(path)
     ends = rows.groupBy("part").agg(F.max(F.col("local_start") + F.col("n_tokens")).alias("tokens"))
@@ -94,7 +96,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def find_documents(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
-    """The rows of some ids; the filter reaches the files' indexes and Bloom filters."""
+    """The rows of some ids, all rows of repeated ones; the filter reaches the files' indexes and Bloom filters."""
     return spark.read.schema(SCHEMA).orc(path).where(F.col("doc_id").isin(list(doc_ids))).select("doc_id", "ids")
 
 

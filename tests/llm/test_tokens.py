@@ -1,7 +1,9 @@
 """Token ids, their files, packing, mixing and the whole pipeline."""
 
 import os
+import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -224,3 +226,53 @@ def test_stages_return_the_columns_of_documents(spark):
         out = stage(spark, docs, FOLDER)
         assert out.columns == docs.columns, name
         assert stage(spark, docs.where("false"), FOLDER).count() == 0, name
+
+
+def _exact(rows):
+    """Of equal texts the longest, then the smallest id, one without id last."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", r[1] or ""), []).append(r)
+    return [min(g, key=lambda r: (-len(r[1] or ""), r[0] is None, r[0] or 0)) for g in groups.values()]
+
+
+def _near(rows):
+    numbered = [(i, text) for i, (_, text, *_) in enumerate(rows)]
+    groups = {}
+    for (i, _), (_, _, least) in zip(numbered, near_groups(numbered), strict=True):
+        groups.setdefault(least, []).append(i)
+    return [rows[min(g, key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))] for g in groups.values()]
+
+
+def test_stages_on_awkward_rows(spark):
+    """Nulls, blanks, repeated rows and ids, long texts and columns with the operators' own names."""
+    rows = awkward_rows()
+    docs = table(spark, rows)
+    texts = lambda found: sorted(((r[0], r[1]) for r in found), key=repr)
+    stage = dict(corpus_pipeline.STAGES)
+    out = {name: stage[name](spark, docs, FOLDER) for name in list(stage)[:-1]}
+    assert all(df.columns == docs.columns for df in out.values())
+    found = {name: [tuple(r) for r in df.select("doc_id", "text", "source").collect()] for name, df in out.items()}
+    chain = lines.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    assert texts(found["quality rules"]) == texts(r for r in rows if lines.judge(r[1] or "", chain)["kept"])
+    exact = found["exact dedup"]
+    assert texts(r for r in exact if (r[1] or "").strip()) == texts(r for r in _exact(rows) if (r[1] or "").strip())
+    assert len(exact) == len(_exact(rows))
+    assert sorted((r[1] or "") for r in found["n-gram Jaccard join"]) == sorted((r[1] or "") for r in _near(rows))
+    taken = Counter((r[0], r[1]) for r in found["mixing sources to target weights"])
+    assert set(taken) <= {(r[0], r[1]) for r in rows if words(r[1])} and max(taken.values()) <= 3 * 2
+    pieces = stage["packing"](spark, docs, FOLDER).collect()
+    assert sum(p.length for p in pieces) == sum(len(ids_of(r[1], 0)) for r in rows)
+
+
+def test_the_fit_takes_whole_documents_and_one_row_an_id(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    good, bad = "The plain words of a sentence end with a stop.\n" * 6, "MENU | HOME | $$ ## 12\n" * 6
+    rows = [(i, good if i % 2 else bad, "s") for i in range(60)]
+    once = lines.fit(table(spark, rows), labels)
+    again = lines.fit(table(spark, rows + [rows[0]] * 500), labels)
+    assert once == again
+    # A page of more lines than the bound is left out of the sample whole, not cut.
+    long = [*rows[1:], (0, bad * 40, "s")]
+    assert lines.fit(table(spark, long), labels) == lines.fit(table(spark, rows[1:]), labels)
+    assert lines.fit(table(spark, long), labels, most_lines=300) != lines.fit(table(spark, rows[1:]), labels)
