@@ -1,7 +1,9 @@
 """A corpus from raw documents to packed sequences, in five stages.
 
 Each stage gets what its predecessor kept, as Parquet, and returns the columns of
-``documents``; the last returns the pieces of the packed sequences.
+``documents``; the last returns the pieces of the packed sequences. Every stage
+takes rows one by one, also where ids repeat or are missing, and an empty table
+gives an empty one. Further columns go along, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,20 +30,32 @@ def _without(numbered: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are mostly content by their lines' labels."""
+    """Documents that pass the base rules and are mostly content by their lines' labels.
+
+    A null or blank text has no words and goes. Labels of absent documents and null
+    labels count for nothing; without any label only the base rules decide.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return lines.keep_documents(docs, lines.fit(docs, labels))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text, ignoring white space."""
+    """One document of each text, ignoring white space.
+
+    The longest original stays, then the smallest id, one without id last, and of
+    equal rows any one. Null texts equal empty ones.
+    """
     numbered, row = _numbered(docs)
     judged = chunks.deduplicate(numbered, row_col=row)
     return _without(numbered, row, judged.where(~F.col("kept")).select(F.col("row").alias(row)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similarity, over any number of links, the one with the smallest id."""
+    """Of documents linked by similarity, over any number of links, the one with the smallest id.
+
+    Of equal ids one row stays, and a row without id only where no other has one.
+    Null and blank texts are linked with nothing and stay.
+    """
     numbered, row = _numbered(docs)
     groups = sketches.near_duplicates(numbered, id_col=row).select(F.col("doc_id").alias(row), "component_id")
     grouped = materialize(groups.join(numbered.select(row, "doc_id"), row), "near-groups")
@@ -52,12 +66,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target asks for, from never to three times."""
+    """Documents as often as their source's target asks for, from never to three times.
+
+    A null source is a source of its own; documents without words are never taken.
+    """
     return mixing.take(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 1,024 tokens."""
+    """Pieces of sequences of at most 1,024 tokens; a null text is one end id."""
     return packing.pack(docs)
 
 
