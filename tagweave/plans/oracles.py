@@ -238,6 +238,66 @@ LEFT JOIN c_stemmed b ON b."uniqueID" = t."uniqueID" AND b.field = 'body'"""
 ORACLES["token_hash"] = """
 SELECT count(DISTINCT token) AS tokens, count(DISTINCT token) AS xxhash64, count(DISTINCT token) AS murmur3_128
 FROM (SELECT unnest(title || body) AS token FROM c_token)"""
+
+# MurmurHash3 x64 128 over UTF-16 code units, by 128-bit integers cut to 64 bits. The constants
+# are the published ones, written out here as well.
+_C1, _C2 = 0x87C37B91114253D5, 0x4CF5AD432745937F
+_ADD1, _ADD2 = 0x52DCE729, 0x38495AB5
+_MIX1, _MIX2 = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
+_WIDTH = f"{1 << 64}::UHUGEINT"
+
+
+def _times(x: str, factor: int) -> str:
+    return f"(({x})::UHUGEINT * {factor}::UHUGEINT % {_WIDTH})::UBIGINT"
+
+
+def _plus(x: str, y: str | int) -> str:
+    return f"((({x})::UHUGEINT + ({y})::UHUGEINT) % {_WIDTH})::UBIGINT"
+
+
+def _turned(x: str, bits: int) -> str:
+    return f"((({x})::UHUGEINT * {1 << bits}::UHUGEINT % {_WIDTH}) + ({x})::UHUGEINT // {1 << (64 - bits)}::UHUGEINT)::UBIGINT"
+
+
+def _folded(x: str) -> str:
+    return f"xor({x}, {x} // {1 << 33}::UBIGINT)"
+
+
+def _scrambled(first: int, bits: int, second: int) -> str:
+    steps = (_times("x", first), _turned("x", bits), _times("x", second))
+    sql = "lanes"
+    for step in steps:
+        sql = f"list_transform({sql}, lambda x: {step})"
+    return sql
+
+
+_LANE = " + ".join(f"coalesce(units[4 * j + {i + 1}], 0)::UHUGEINT * {65536**i}::UHUGEINT" for i in range(4))
+STEPS["c_unit"] = """
+SELECT token, flatten(list_transform(range(1, length(token) + 1), lambda i:
+         CASE WHEN unicode(substr(token, i, 1)) < 65536 THEN [unicode(substr(token, i, 1))]
+              ELSE [55296 + (unicode(substr(token, i, 1)) - 65536) // 1024, 56320 + (unicode(substr(token, i, 1)) - 65536) % 1024] END)) AS units
+FROM (SELECT DISTINCT unnest(title || body) AS token FROM c_token)"""
+STEPS["c_lane"] = f"""
+SELECT token, len(units) AS n, list_transform(range(0, (len(units) + 3) // 4), lambda j: ({_LANE})::UBIGINT) AS lanes FROM c_unit"""
+STEPS["c_scrambled"] = f"""
+SELECT token, n, {_scrambled(_C1, 31, _C2)} AS odd, {_scrambled(_C2, 33, _C1)} AS even FROM c_lane"""
+STEPS["c_block"] = f"""
+SELECT token, n, odd, even, 0 AS i, 0::UBIGINT AS h1, 0::UBIGINT AS h2 FROM c_scrambled
+UNION ALL
+SELECT token, n, odd, even, i + 1, g, {_plus(_times(_plus(_turned('xor(h2, even[2 * i + 2])', 31), 'g'), 5), _ADD2)}
+FROM (SELECT *, {_plus(_times(_plus(_turned('xor(h1, odd[2 * i + 1])', 27), 'h2'), 5), _ADD1)} AS g FROM c_block WHERE i < n // 8)"""
+STEPS["c_tail"] = """
+SELECT token, (2 * n)::UBIGINT AS size,
+       CASE WHEN n % 8 > 0 THEN xor(h1, odd[2 * i + 1]) ELSE h1 END AS h1,
+       CASE WHEN n % 8 > 4 THEN xor(h2, even[2 * i + 2]) ELSE h2 END AS h2
+FROM c_block WHERE i = n // 8"""
+STEPS["c_joined1"] = f"SELECT token, {_plus('xor(h1, size)', 'xor(h2, size)')} AS a, xor(h2, size) AS b FROM c_tail"
+STEPS["c_joined2"] = f"SELECT token, a, {_plus('b', 'a')} AS b FROM c_joined1"
+STEPS["c_mixed1"] = f"SELECT token, {_times(_folded('a'), _MIX1)} AS a, {_times(_folded('b'), _MIX1)} AS b FROM c_joined2"
+STEPS["c_mixed2"] = f"SELECT token, {_times(_folded('a'), _MIX2)} AS a, {_times(_folded('b'), _MIX2)} AS b FROM c_mixed1"
+STEPS["c_murmur"] = f"SELECT token, {_plus(_folded('a'), _folded('b'))} AS h FROM c_mixed2"
+ORACLES["token_hash_values"] = f"""
+SELECT token, CASE WHEN h < {1 << 63}::UBIGINT THEN h::BIGINT ELSE (h::HUGEINT - {1 << 64}::HUGEINT)::BIGINT END AS murmur FROM c_murmur"""
 STEPS["c_occurrence"] = """
 SELECT "uniqueID", field, count(*) AS d, sum(n)::BIGINT AS total, max(n) AS most
 FROM (SELECT "uniqueID", field, token, count(*) AS n

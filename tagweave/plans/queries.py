@@ -216,6 +216,16 @@ def token_hash(spark, folder):
     )
 
 
+@query
+def token_hash_values(spark, folder):
+    """Every distinct token with the value of its hash."""
+    words = F.array_distinct(F.concat(*tx.FIELDS))
+    found = _tokens(spark, folder).select(
+        F.inline_outer(F.arrays_zip(words.alias("token"), hash_tokens(words, "murmur3_128").alias("murmur"))).alias("token", "murmur")
+    )
+    return found.where(F.col("token").isNotNull()).distinct()
+
+
 @query
 def token_occurrences(spark, folder):
     found = tx.token_occurrences(_samples(spark, folder), _tokens(spark, folder), DEFAULTS)

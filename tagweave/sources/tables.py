@@ -20,10 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
     """This application's folder for intermediate tables, deleted when it ends.
 
     It lies in ``spark.checkpoint.dir`` or, where that is unset, in the warehouse,
-    which all executors share as well.
+    unless that is a folder of one machine and the executors run on others.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    folder = folder or spark.conf.get("spark.sql.warehouse.dir")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{folder}/tagweave/{spark.sparkContext.applicationId}"
     if path not in _used:
         _used.add(path)
