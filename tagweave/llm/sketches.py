@@ -37,7 +37,7 @@ ENTRIES_PER_BUCKET = 1_000_000
 SEEDS = 4
 GROUP_PIECE = 2_000
 PAIRS_AT_ONCE = 256
-PAIRS_KNOWN = 200_000
+PAIRS_KNOWN = 50_000
 ROWS_AT_ONCE = 64
 ENTRIES_AT_ONCE = 300_000
 
