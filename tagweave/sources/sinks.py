@@ -5,23 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.operators.lookup import heavy_by_count, lookup
 from tagweave.operators.mining import item_appearances, signed_items, transaction_lines
 from tagweave.operators.samples import flatten_samples
 from tagweave.options import SET_NAMES, Options
 from tagweave.sources.manifest import commit_table
 
 SAMPLE_LAYOUT = ("domain", "set", "rng")
+# Rows of a shard that one task writes, if the size of the shard is known.
+ROWS_PER_WRITER = 50_000
 
 
-def write_samples(samples: DataFrame, output: str, opts: Options, summary_metadata: bool = False) -> None:
+def write_samples(
+    samples: DataFrame, output: str, opts: Options, summary_metadata: bool = False, counts: DataFrame | None = None
+) -> None:
     """Sample table, laid out by domain, set and shard.
 
     The shard is part of the shuffle key, so a domain that holds most of the
-    posts is written by many tasks.
+    posts is written by many tasks. With the ``counts`` of rows by domain and set
+    that the shards were cut by, a shard of more than ``ROWS_PER_WRITER`` rows is
+    dealt by id to several tasks, each of which writes a file of its own.
     """
+    by = list(SAMPLE_LAYOUT)
+    if counts is not None:
+        samples = lookup(samples, counts, ["domain", "set"], heavy_by_count(counts, "rows"), "uniqueID")
+        shard = F.col("rows") / F.ceil(F.col("rows") / F.lit(opts.rows_per_shard))
+        writers = F.coalesce(F.ceil(shard / F.lit(ROWS_PER_WRITER)), F.lit(1))
+        samples = samples.withColumn("_writer", F.pmod(F.xxhash64("uniqueID"), writers)).drop("rows")
+        by.append("_writer")
+    samples = samples.repartition(*by).drop("_writer")
     if opts.output_format == "csv":
         samples = flatten_samples(samples)
-    writer = samples.repartition(*SAMPLE_LAYOUT).write.partitionBy(*SAMPLE_LAYOUT).mode("overwrite")
+    writer = samples.write.partitionBy(*SAMPLE_LAYOUT).mode("overwrite")
     writer = writer.option("maxRecordsPerFile", opts.max_records_per_file)
     if summary_metadata:
         writer = writer.option("parquet.summary.metadata.level", "ALL")

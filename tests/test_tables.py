@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tagweave.operators import features, ordering, quality, topk
+from tagweave.operators import features, ordering, quality, samples, topk
 from tagweave.options import Options
 from tagweave.plans import queries as q
 from tagweave.sources import manifest, posts, sinks, tables
@@ -105,3 +105,19 @@ def test_an_overwrite_that_dies_leaves_the_old_table(spark, tmp_path):
     assert manifest.last_version(spark, f"{output}/dataset") == 1
     assert sinks.commit_samples(committed(spark, 7), output, Options()) == 2
     assert posts.read_samples(spark, output).count() == 7
+
+
+def test_a_large_shard_has_several_writers(spark, tmp_path, monkeypatch):
+    """The one shard of 900 rows is dealt to several tasks, the small ones stay whole; no row is lost or moved."""
+    monkeypatch.setattr(sinks, "ROWS_PER_WRITER", 90)
+    rows = spark.range(1_000).selectExpr("id AS uniqueID", "if(id < 900, 'hot', concat('d', id % 9)) AS domain", "'Test' AS set", "0L AS rng")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small tasks stay apart, as large ones do
+    try:
+        sinks.write_samples(rows, str(tmp_path), Options(), counts=samples.shard_counts(rows))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = spark.read.parquet(f"{tmp_path}/dataset")
+    report = {r["domain"]: (r["files"], r["rows"]) for r in quality.layout_report(read, ["domain"]).collect()}
+    assert 3 <= report["hot"][0] <= 8 and report["hot"][1] == 900 and all(files == 1 for d, (files, _) in report.items() if d != "hot")
+    assert sorted(map(tuple, read.select("uniqueID", "domain").collect())) == sorted(map(tuple, rows.select("uniqueID", "domain").collect()))
+    assert read.columns == ["uniqueID", "domain", "set", "rng"]
