@@ -134,3 +134,19 @@ def test_lookup_evaluates_its_facts_once_and_aggregates_no_keys(spark, monkeypat
     assert calls.value == 3_000
     assert [label for label, _ in written] == ["looked-up"]
     assert not any("Aggregate" in plan for _, plan in written)
+
+
+def test_answered_rows_stay_out_of_the_shuffle(spark):
+    """Broadcast, shuffled, absent, repeated and missing keys; only those without an answer reach the join."""
+    keys = [("k0", i) for i in range(300)] + [(f"k{i}", i) for i in range(40)] + [("gone", 1), ("gone", 2), (None, 3)]
+    facts = materialize(spark.createDataFrame(keys, "k string, id long"), "facts")
+    dim = [(f"k{i}", i, 1) for i in range(40)] + [("k7", 70, 1), ("k0", 100, 1)]
+    dimension = materialize(spark.createDataFrame(dim, "k string, v int, n int"), "dimension")
+    found = lookup(facts, dimension, ["k"], F.col("v") < 2, "id")
+    wanted = facts.join(dimension.where("v < 2"), "k").unionByName(
+        facts.join(dimension.where("v < 2"), "k", "left_anti").join(dimension.where("v >= 2"), "k", "left")
+    )
+    # A key with a broadcast answer has its shuffled ones as little as before.
+    assert plain(found.select("k", "id", "v", "n").collect()) == plain(wanted.select("k", "id", "v", "n").collect())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "NOT coalesce(_hit" in plan
