@@ -78,6 +78,16 @@ def test_some_rules_are_long_and_near_copies_collapse(spark):
     assert sorted(a for label, a in found if label == "l:0") == sorted([f"t:c{k}"] for k in range(12))
 
 
+def test_copies_that_no_set_makes_confident_are_not_searched(spark):
+    """Every copy lacks one of 40 tokens and two of five have the label: some 2 ** 40 frequent sets, none valid."""
+    rows = [(i, [f"t:c{k}" for k in range(40) if k != i % 40], ["l:0"] if i // 40 < 2 else ["l:1"], "Training") for i in range(200)]
+    rows += [(200 + i, ["t:a", "t:b"] if i % 2 else ["t:a", "t:c"], ["l:0"] if i % 2 else ["l:1"], "Training") for i in range(60)]
+    rows += [(300 + i, ["t:b"], ["l:1"], "Training") for i in range(30)]
+    mined = class_rules.fit_label_rules(spark.createDataFrame(rows, SCHEMA), Options(support_count=20, min_confidence=0.7))
+    found = sorted((r["consequent"][0], sorted(r["antecedent"]), r["freq"]) for r in mined.rules.collect())
+    assert found == [("l:0", ["t:a", "t:b"], 30), ("l:1", ["t:c"], 30)]
+
+
 def test_nothing_to_learn_from(spark):
     for rows in ([], [(1, ["t:a"], ["l:0"], "Test")], [(1, [], [], "Training")]):
         baskets = spark.createDataFrame(rows, SCHEMA)
