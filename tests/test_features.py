@@ -8,6 +8,7 @@ from tagweave.operators import dictionary, features, quality
 from tagweave.operators import lookup as lookup_module
 from tagweave.operators import text as tx
 from tagweave.options import Options
+from tagweave.plans import queries
 from tagweave.sources.tables import materialize
 
 TOKENS = "uniqueID long, title array<string>, body array<string>, domain string"
@@ -128,3 +129,8 @@ def test_no_vocabulary_gives_empty_bags(spark, posts):
     assert bags.count() == 0
     filled = features.fill_bags(tokens.join(bags, "uniqueID", "left"), opts)
     assert {len(r["titleBodyBag"]) for r in filled.collect()} == {0}
+
+
+def test_both_bags_of_a_post_leave_one_pass(spark):
+    plan = queries.QUERIES["tfidf_separate_vectors"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("documents.parquet") + plan.count("Relation [doc_id") == 1, plan

@@ -137,3 +137,10 @@ def test_stable_hash_is_the_md5_prefix(spark):
     df = spark.createDataFrame([(7,)], "k long")
     expected = int(hashlib.md5(b"3:7").hexdigest()[:8], 16)
     assert one(df, stable_hash(F.col("k"), 3)) == [expected]
+
+
+def test_a_text_without_formulas_is_not_matched(spark, monkeypatch):
+    rows = spark.createDataFrame([("no marks",), ("a $x$ b",), (r"c \begin{a}x\end{a} d",), (None,)], "text string")
+    assert [r[0] for r in rows.select(fn.strip_math(F.col("text"))).collect()] == ["no marks", "a  b", "c  d", None]
+    monkeypatch.setattr(fn, "MATH_PATTERN", "marks")  # is tried only where a formula may begin
+    assert [r[0] for r in rows.select(fn.strip_math(F.col("text"))).collect()][0] == "no marks"
