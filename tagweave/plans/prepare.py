@@ -81,15 +81,16 @@ def rank_tables(tag_rows: DataFrame, opts: Options) -> tuple[dict[str, DataFrame
 def prepare(text: DataFrame, tag_rows: DataFrame, opts: Options, with_bags: bool = True) -> Prepared:
     """All steps from cleaned posts to sharded samples.
 
-    The tag rows give ranks and labels without the text. The text is read,
-    tokenised and shuffled once, for the join with its labels, and written; the
-    statistics and the samples are narrow passes over that table. Only bags need
+    The tag rows give ranks without the text, and labels for the ids that have one.
+    The text is read, but for its ids, tokenised and shuffled once, for the join with
+    its labels, and written; the statistics and the samples are narrow passes over that table. Only bags need
     one more join by id, of compact hashes with their counted terms.
     """
     text = split.assign_sets(text, opts)
     tag_rows = materialize(split.assign_sets(tag_rows, opts), "tag-rows")
     lookups, totals = rank_tables(tag_rows, opts)
-    encoded = tags.encode_tags(tag_rows, lookups["global_tags"], lookups["domain_tags"], keep_untagged=True)
+    found = tags.tags_of(tag_rows, text)
+    encoded = tags.encode_tags(found, lookups["global_tags"], lookups["domain_tags"], keep_untagged=True)
     labels = encoded.drop("domain").withColumn("tagged", F.lit(True))
     posts = skew_join(tokenize(text, opts), labels, ["uniqueID"], "left")
     learned = (F.col("set") == split.TRAINING) & F.col("tagged")

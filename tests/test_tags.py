@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tagweave.operators import lookup as lookup_module
 from tagweave.operators import quality, samples, split, tags
-from tagweave.sources import tables
+from tagweave.sources import adapters, tables
 from tagweave.operators.lookup import heavy_by_count, heavy_by_rank, lookup
 from tagweave.operators.ordering import ordered_index
 from tagweave.options import SET_NAMES, Options
@@ -223,3 +223,22 @@ def test_hot_keys_of_the_facts_spread(spark, monkeypatch, hot):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[1])
     assert max(sizes) < 2 * 6000 / len(sizes)
     assert rows == {(r["id"], dict(names).get(r["key"])) for r in facts.collect()}
+
+
+def test_only_tags_of_posts_with_a_text_are_encoded(spark):
+    rows = spark.createDataFrame([(1, "a,b", "d"), (2, "c", "d"), (1, "c", "d"), (None, "a", "d")], "uniqueID long, tags string, domain string")
+    text = spark.createDataFrame([(1,), (1,), (3,), (None,)], "uniqueID long")
+    found = tags.tags_of(rows, text)
+    assert found.columns == rows.columns
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "a,b", "d"), (1, "c", "d")]
+
+
+def test_the_tag_adapter_writes_no_lines(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a table was written")
+
+    for module in (tables, lookup_module):
+        monkeypatch.setattr(module, "materialize", refuse)
+    monkeypatch.setattr(adapters, "HEAVY_KEYS", 5, raising=False)
+    found = adapters.post_tags(spark, "/root/testdata/sf0.001").collect()
+    assert found and all(r.tags and r.domain for r in found)
