@@ -157,8 +157,8 @@ def signatures(found: np.ndarray) -> np.ndarray:
 
 def _sets(batch: pa.RecordBatch) -> dict:
     out: dict[str, list] = {"n": [], "cls": [], "sketch": []}
-    for text in batch.column("text").to_pylist():
-        found = shingles(text)
+    for text in batch.column("text"):  # one at a time, so that the batch is not held twice
+        found = shingles(text.as_py())
         out["n"].append(len(found))
         out["cls"].append(class_of(found) if len(found) else None)
         out["sketch"].append(sketch(found, sketch_bits(band(len(found)))).tobytes() if len(found) else None)
@@ -169,14 +169,14 @@ def _some_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, np.ndarr
     sets: dict[int, np.ndarray] = {}
     held = 0
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            found = shingles(text)
+        for text in batch.column("text"):
+            found = shingles(text.as_py())
             if len(found) and (cls := class_of(found)) not in sets:
                 sets[cls] = signatures(found)
                 held += len(sets[cls])
-        if held >= ENTRIES_AT_ONCE:
-            yield sets
-            sets, held = {}, 0
+            if held >= ENTRIES_AT_ONCE:  # within a batch, which may hold many times as many
+                yield sets
+                sets, held = {}, 0
     if sets:
         yield sets
 
@@ -288,7 +288,7 @@ def _screen(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _set_rows(batch: pa.RecordBatch) -> dict:
-    found = [shingles(text) for text in batch.column("text").to_pylist()]
+    found = [shingles(text.as_py()) for text in batch.column("text")]
     return {"cls": [class_of(f) if len(f) else None for f in found], "shingles": [f.tobytes() for f in found]}
 
 

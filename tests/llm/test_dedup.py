@@ -3,6 +3,7 @@
 import re
 
 import duckdb
+import pyarrow as pa
 import pytest
 from helpers import FOLDER, awkward_rows, near_groups, ordered, prose, sha, stored, table, without_repeats
 
@@ -152,3 +153,13 @@ def test_sql(spark, name):
     want = duck.execute(ORACLES[name])
     columns = [c[0] for c in want.description]
     assert ordered(QUERIES[name](spark, FOLDER).select(columns).collect()) == ordered(want.fetchall())
+
+
+def test_signatures_are_filed_within_their_bound(monkeypatch):
+    monkeypatch.setattr(sketches, "ENTRIES_AT_ONCE", 500)
+    texts = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(100)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    found = list(sketches._some_sets(iter([batch])))
+    most = max(len(s) for part in found for s in part.values())
+    assert max(sum(map(len, part.values())) for part in found) < 500 + most
+    assert [c for part in found for c in part] == [sketches.class_of(sketches.shingles(t)) for t in texts]

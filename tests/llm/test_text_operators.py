@@ -4,6 +4,7 @@ import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 from helpers import FOLDER, awkward_rows, lower, ordered, prose, sha, stored, table, words
 
@@ -335,3 +336,11 @@ def test_suppression_equals_all_comparisons_and_is_not_quadratic():
     begun = time.process_time()
     assert len(licences.suppress(many)) == 200_000
     assert time.process_time() - begun < 20
+
+
+def test_kept_rows_leave_in_pieces():
+    text = " ".join(f"word{i}" for i in range(60)) + "."
+    rows = pa.RecordBatch.from_pydict({"text": [text, None, "short"] * lines.PIECE_ROWS, "n": list(range(3 * lines.PIECE_ROWS))})
+    found = list(lines._kept(iter([rows]), "text", lines.ALL_CONTENT))
+    assert max(b.num_rows for b in found) <= lines.PIECE_ROWS
+    assert [n for b in found for n in b.column("n").to_pylist()] == list(range(0, 3 * lines.PIECE_ROWS, 3))
