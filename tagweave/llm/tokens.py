@@ -2,24 +2,27 @@
 
 Byte-level BPE never merges across the pieces its pattern splits a text into, so
 a text's ids are its pieces' ids in a row. Texts of common Latin characters are
-cut here, between pieces, and only what was not seen lately goes to the tokenizer;
-any other text, and any that holds an added token, goes to it whole. Both ways
-give the same ids.
+cut here, between pieces, and only what was not seen lately goes to the tokenizer's
+model; any other text, and any that holds an added token, goes to the tokenizer
+whole. Both ways give the same ids.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
+from codecs import charmap_decode
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 TOKENIZER = "byte_bpe_50k.json"
 # Chunks of a generation of the cache; two generations are kept.
 CACHED_CHUNKS = 300_000
 # Characters of texts that are encoded in one call.
-CALL_CHARS = 200_000
+CALL_CHARS = 2_000_000
 
 # Characters whose class no Unicode version changed.
 _UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
@@ -33,6 +36,32 @@ _WHITE_RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r")
 
 _encoders: dict[str, Encoder] = {}
 
+# How byte-level vocabularies spell a byte: as itself where that is visible, the others from U+0100 on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_HIDDEN = sorted({*range(0x100)} - {*_VISIBLE})
+_SPELLED = "".join(chr(b if b in _VISIBLE else 0x100 + _HIDDEN.index(b)) for b in range(0x100))
+
+_ALNUM = np.zeros(256, bool)
+_ALNUM[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+
+
+def _piece_starts(data: np.ndarray, texts: Sequence[str], bounds: np.ndarray) -> np.ndarray:
+    """Where texts, whose bytes stand in ``data`` in a row, may be cut between pieces."""
+    starts = data == ord(" ")
+    # Every single space begins a piece, and every single line end is one; a full
+    # stop or comma belongs to no piece that holds a letter or digit.
+    starts |= data == ord("\n")
+    starts[1:] |= data[:-1] == ord("\n")
+    starts[1:] |= ((data[1:] == ord(".")) | (data[1:] == ord(","))) & _ALNUM[data[:-1]]
+    for text, begin, end in zip(texts, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if any(x in text for x in _WHITE_RUNS):
+            starts[begin:end] = False
+            sizes = [len(piece.encode()) for piece in _PIECE.findall(text)]
+            starts[begin + np.cumsum(sizes[:-1], dtype=np.int64)] = True
+        if begin < end:
+            starts[begin] = True
+    return starts
+
 
 def tokenizer_path(name: str) -> str:
     if os.sep in name:
@@ -56,48 +85,54 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         # Chunks met lately, in two generations: the older one is dropped whole.
-        self._recent: dict[str, bytes] = {"": b""}
-        self._older: dict[str, bytes] = {}
-        (self._line_end,) = np.frombuffer(self.direct(["\n"])[0], "<u4")
+        self._recent: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
+        self._model = self._tokenizer.model
 
     def direct(self, texts: Sequence[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Encode what was not seen lately: many chunks in one call, apart by line ends."""
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Merge what was not seen lately, piece by piece; the tokenizer's own cutting takes longer than its merges."""
+        merge, known = self._model.tokenize, self._recent
+        for chunk in chunks:
+            ids = [t.id for piece in _PIECE.findall(chunk.decode()) for t in merge(charmap_decode(piece.encode(), "strict", _SPELLED)[0])]
+            known[chunk] = array("I", ids).tobytes()
+
+    def _is_whole(self, text: str) -> bool:
+        return bool(_UNUSUAL.search(text)) or any(x in text for x in self._added)
+
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of different chunks."""
         known = self._recent
-        some = [c for c in chunks if not c.isspace()]
-        if some:
-            (joined,) = self.direct(["\n".join(some)])
-            ends = (np.flatnonzero(np.frombuffer(joined, "<u4") == self._line_end) * 4).tolist()
-            starts = [0, *(e + 4 for e in ends)]
-            known.update((c, joined[a:b]) for c, a, b in zip(some, starts, [*ends, len(joined)], strict=True))
-        white = [c for c in chunks if c.isspace()]
-        known.update(zip(white, self.direct(white), strict=True))
-
-    def _chunks(self, text: str) -> list[str] | None:
-        if _UNUSUAL.search(text) or any(x in text for x in self._added):
-            return None
-        if any(x in text for x in _WHITE_RUNS):
-            return _PIECE.findall(text)
-        # Every single space begins a piece, and every single line end is one.
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        missing = [c for c in chunks if c not in known]
+        older = self._older
+        known.update((c, older[c]) for c in missing if c in older)
+        if new := [c for c in missing if c not in older]:
+            self._learn(new)
+        return list(map(known.__getitem__, chunks))
 
     def encode_some(self, texts: Sequence[str]) -> list[bytes]:
-        """The ids of each text; what is new in all of them goes to the tokenizer in one call."""
+        """The ids of each text; each different chunk of all of them is looked up once."""
         if len(self._recent) > CACHED_CHUNKS:
-            self._older, self._recent = self._recent, {"": b""}
-        cut = [self._chunks(text) for text in texts]
-        new = set().union(*(c for c in cut if c is not None)).difference(self._recent)
-        again = new & self._older.keys()
-        self._recent.update(zip(again, map(self._older.__getitem__, again), strict=True))
-        new -= again
-        if new:
-            self._learn(new)
-        whole = iter(self.direct([text for text, c in zip(texts, cut, strict=True) if c is None]))
-        ids_of = self._recent.__getitem__
-        return [next(whole) if c is None else b"".join(map(ids_of, c)) for c in cut]
+            self._older, self._recent = self._recent, {}
+        is_whole = list(map(self._is_whole, texts))
+        whole = iter(self.direct([text for text, w in zip(texts, is_whole, strict=True) if w]))
+        cut = [text for text, w in zip(texts, is_whole, strict=True) if not w]
+        data = list(map(str.encode, cut))
+        bounds = np.cumsum([0, *map(len, data)])
+        joined = np.frombuffer(b"".join(data), np.uint8)
+        offsets = np.append(np.flatnonzero(_piece_starts(joined, cut, bounds)), len(joined)).astype(np.int32)
+        chunks = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
+        chunks = chunks.dictionary_encode()
+        found = pa.array(self._ids(chunks.dictionary.to_pylist()), pa.binary()).take(chunks.indices)
+        # The ids of all texts stand in a row; a text's end where those of its last chunk do.
+        places = np.frombuffer(found.buffers()[1], np.int32) if len(found) else np.zeros(1, np.int32)
+        ids = memoryview(found.buffers()[2] or b"")
+        ends = places[np.searchsorted(offsets, bounds)].tolist()
+        each = iter([ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)])
+        return [next(whole if w else each) for w in is_whole]
 
     def encode(self, text: str) -> bytes:
         return self.encode_some([text])[0]

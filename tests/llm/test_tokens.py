@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 import corpus_pipeline
 from tagweave.llm import lines, mixing, packing, tokenfiles
 from tagweave.llm.registry import QUERIES
-from tagweave.llm.tokens import TOKENIZER, encoder
+from tagweave.llm.tokens import TOKENIZER, Encoder, encoder
 
 
 def ids_of(text, end):
@@ -40,6 +40,13 @@ def test_encoding_of_white_space_and_marks(text):
     assert e.encode(text) == e.direct([text])[0] and e.encode(text) == e.encode(text)
 
 
+def test_a_word_is_learned_once_whatever_mark_follows():
+    e = Encoder(TOKENIZER)
+    text = "alpha beta, beta. beta\nbeta,beta ...beta é. é"
+    assert e.encode(text) == e.direct([text])[0]
+    assert set(e._recent) == {b"alpha", b" beta", b",", b".", b"\n", b"beta", b",beta", b" ...beta", " é".encode(), " é.".encode()}
+
+
 @pytest.mark.parametrize("text", ["<|endoftext|>", "a b <|endoftext|> c", "a<|endoftext|>\nb", "日<|endoftext|>", prose(2, 50) + "<|endoftext|>"])
 def test_an_added_token_in_a_text_is_its_id(text):
     from tokenizers import Tokenizer
