@@ -124,6 +124,24 @@ def test_repeats_agree_with_counting_all_strings(spark, largest):
     assert ordered(found.drop("kept").collect()) == ordered(without_repeats(rows))
 
 
+def test_a_frequent_passage_is_not_spelled_out(spark, monkeypatch):
+    """Its surroundings differ in every text: few rows each, not one for every string of 400 bytes."""
+    written, materialize = [], repeats.materialize
+
+    def counting(df, label):
+        out = materialize(df, label)
+        written.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(repeats, "materialize", counting)
+    passage = prose(50, 200)[:700]
+    rows = [(i, f"{prose(100 + i, 60)} {passage} {prose(300 + i, 60)}" + " x" * (i % 3), None) for i in range(60)]
+    found = repeats.remove_repeats(table(spark, rows).repartition(4), largest_group=5)
+    assert ordered(found.drop("kept").collect()) == ordered(without_repeats(rows))
+    tuples = [n for label, n in written if label == "repeat-tuples"]
+    assert len(tuples) > 1 and sum(tuples) < 100 * len(rows)
+
+
 def test_repeats_in_the_test_documents(spark):
     rows = stored(spark)
     found = repeats.op8_induced_suffixes(spark, FOLDER).collect()
