@@ -71,6 +71,21 @@ def test_near_groups_of_many_sizes_and_shared_passages(spark, monkeypatch):
     assert ordered(sketches.near_duplicates(table(spark, rows)).collect()) == ordered(near_groups(rows))
 
 
+def test_copies_that_differ_too_much_make_few_pairs(spark, monkeypatch):
+    """Texts of similarity 0.66 that share most blocks: screened out, not verified pair by pair."""
+    written, materialize = [], sketches.materialize
+
+    def counting(df, label):
+        out = materialize(df, label)
+        written.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(sketches, "materialize", counting)
+    rows = [(i, t, None) for i, t in enumerate(family(80, 3))]
+    assert ordered(sketches.near_duplicates(table(spark, rows)).collect()) == ordered(near_groups(rows))
+    assert sum(n for label, n in written if label == "sketch-pairs") < 1_000
+
+
 def test_every_similar_pair_shares_a_signature():
     import numpy as np
 
