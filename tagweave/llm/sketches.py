@@ -10,10 +10,9 @@ the one below, under the XOR of its shingles in each of its first non-empty
 blocks, one more of them than the shingles it may lack. Candidates are screened by
 short sketches, whose differing bits are counted, and then verified on the sets.
 
-Only groups are wanted, so a block's sets are first linked to one of them, their
-leader; sets that this has joined need no further comparison. Similar sets share a
-block, so they share its leader: what follows a leader in blocks that then still lie
-in several groups is screened in full, once per leader, in pieces of bounded size.
+Only groups are wanted, so a block's sets are first linked to one of them; sets
+that this has joined need no further comparison. Blocks whose sets then still
+lie in several groups are screened in full, in pieces of bounded size.
 """
 
 from __future__ import annotations
@@ -116,9 +115,9 @@ def n_blocks(scheme: int) -> int:
 
 
 def sketch_bits(scheme: int) -> int:
-    """A power of two above the size; more for small sets, so that few differing shingles meet in a bit."""
+    """A power of two above the size, twice that for small sets, so that few differing shingles meet in a bit."""
     n = BOUNDS[scheme]
-    return max(64, (4 if n < 512 else 2 if n < 4096 else 1) << n.bit_length())
+    return max(64, (2 if n < 512 else 1) << n.bit_length())
 
 
 def sketch(found: np.ndarray, bits: int) -> np.ndarray:
@@ -322,12 +321,12 @@ def _verify(pairs: DataFrame, rows: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within a piece of a leader's followers; rows come sorted by piece.
+    """Pairs of different components within a piece of a block; rows come sorted by piece.
 
-    Sets that share one leader may share more: a pair that this task gave lately is not given again.
+    Sets that share one block share many: a pair that this task gave lately is not given again.
     """
     key, rows, given = None, [], set()
-    names = ("leader", "one", "two", "cls", "n", "component", "side", "sketch")
+    names = ("tag", "one", "two", "cls", "n", "component", "side", "sketch")
 
     def flush() -> pa.RecordBatch:
         shortest = 64 * min(len(r[7]) // 8 for r in rows)
@@ -363,25 +362,27 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unsettled(led: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Screened pairs of sets of one leader that lie in different components.
+    """Screened pairs of blocks whose sets, besides the leader, lie in several components.
 
-    More than ``GROUP_PIECE`` sets of a leader are dealt into parts, and every two
-    parts meet in a task of their own, so no task's memory grows with a leader.
+    A block of more than ``GROUP_PIECE`` sets is dealt into parts, and every two
+    parts meet in a task of their own, so no task's memory grows with a block.
     """
     known = nodes.join(groups, F.col("cls") == F.col("node"), "left").select(
         "cls", "n", "sketch", F.coalesce("component", "cls").alias("component")
     )
     rows = materialize(led.join(known.select("cls", "component"), "cls"), "sketch-blocks")
-    ends = rows.groupBy("tag").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    open_blocks = materialize(ends.where("least != most").select("tag"), "sketch-open")
-    rows = materialize(rows.join(open_blocks, "tag", "left_semi").select("leader", "cls").distinct(), "sketch-followers")
-    sizes = rows.groupBy("leader").agg(F.ceil(F.count("*") / GROUP_PIECE).cast("int").alias("parts"))
-    open_leaders = materialize(sizes, "sketch-parts")
-    dealt = rows.join(open_leaders, "leader").withColumn("side", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+    open_blocks = materialize(
+        rows.groupBy("tag")
+        .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size"))
+        .where("least != most")
+        .select("tag", F.ceil(F.col("size") / GROUP_PIECE).cast("int").alias("parts")),
+        "sketch-open",
+    )
+    dealt = rows.join(open_blocks, "tag").withColumn("side", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     pieces = dealt.select(
-        "leader", "cls", "side", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    ).select("leader", "cls", "side", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"))
-    full = pieces.join(known, "cls").repartition("leader", "one", "two").sortWithinPartitions("leader", "one", "two", "cls")
+        "tag", "cls", "side", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    ).select("tag", "cls", "side", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"))
+    full = pieces.join(known, "cls").repartition("tag", "one", "two").sortWithinPartitions("tag", "one", "two", "cls")
     return full.mapInArrow(_compare, "a long, b long").distinct()
 
 
@@ -408,9 +409,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # The original of many copies shares most blocks, so it leads all of them.
     first = F.max_by("cls", F.struct("degree", "cls"))
     leaders = materialize(shared.join(degrees, "cls").groupBy("tag").agg(first.alias("a"), F.max("degree").alias("reach")), "sketch-leaders")
-    blocks = materialize(shared.join(leaders, "tag").where("a != cls"), "sketch-led")
-    # Sets that share one block with a leader share many, so each pair of the two is kept once.
-    led = materialize(blocks.groupBy("a", "cls").agg(F.max("reach").alias("reach")), "sketch-leads")
+    led = materialize(shared.join(leaders, "tag").where("a != cls"), "sketch-led")
     # First each set meets one leader only, the one that shares most: as many pairs as sets.
     # Then it meets its other leaders, but for those that this has joined it to.
     best = led.groupBy("cls").agg(F.max_by("a", F.struct("reach", "a")).alias("a"))
@@ -418,13 +417,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _verify(materialize(_screen(stars, nodes), "sketch-pairs"), rows, members)
     groups = components(links)
     of = lambda side: groups.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
-    others = led.select("a", F.col("cls").alias("b")).join(of("a"), "a", "left").join(of("b"), "b", "left")
+    others = led.select("a", F.col("cls").alias("b")).distinct().join(of("a"), "a", "left").join(of("b"), "b", "left")
     apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
     others = materialize(others.where(apart).select("a", "b").join(stars, ["a", "b"], "left_anti"), "sketch-stars")
     if not others.isEmpty():
         links = materialize(links.unionByName(_verify(materialize(_screen(others, nodes), "sketch-pairs"), rows, members)), "sketch-links")
         groups = components(links)
-    more = materialize(_unsettled(blocks.select("tag", F.col("a").alias("leader"), "cls"), nodes, groups), "sketch-pairs")
+    more = materialize(_unsettled(led.select("tag", "cls"), nodes, groups), "sketch-pairs")
     if not more.isEmpty():
         groups = components(links.unionByName(_verify(more, rows, members)))
     placed = members.join(groups, F.col("cls") == F.col("node"), "left").select(
