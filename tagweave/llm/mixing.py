@@ -62,9 +62,7 @@ def source_targets(sources: DataFrame, weights: Sequence[int], most: int, share:
     repeats = F.when(full | (F.col("source_size") == 0), most).otherwise(F.floor(whole / (size * parts)))
     return sources.withColumns(
         {
-            "target": F.when(full, (F.col("source_size") * most).cast("double")).otherwise(
-                (F.col("weight") * F.lit(free)).cast("double") / parts
-            ),
+            "target": F.when(full, (size * most).cast("double")).otherwise(whole.cast("double") / parts),
             "repeats": repeats.cast("long"),
         }
     ).withColumn(

@@ -12,6 +12,7 @@ import pytest
 from helpers import FOLDER, awkward_rows, near_groups, ordered, prose, stored, table, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tagweave.llm import lines, mixing, packing, tokenfiles
@@ -187,6 +188,17 @@ def test_mixing_of_nothing(spark):
     assert mixing.take(table(spark, [])).collect() == []
 
 
+def test_mixing_of_more_words_than_an_int_holds(spark, monkeypatch):
+    """Weight times words passes 2 ** 31 from 0.43 billion words on."""
+    monkeypatch.setattr(mixing, "word_count", lambda text: F.lit(200_000_000).cast("long"))
+    rows = [(i, "x", "abc"[i % 3]) for i in range(9)]
+    found = mixing.mix(table(spark, rows)).collect()
+    assert {r.source: r.mixes[0].target for r in found} == {"a": 1_125_000_000, "b": 450_000_000, "c": 225_000_000}
+    assert {r.mixes[0].source_size for r in found} == {600_000_000}
+    taken = {s: sum(r.mixes[0].taken for r in found if r.source == s) for s in "abc"}
+    assert taken == {"a": 1_200_000_000, "b": 400_000_000, "c": 200_000_000}
+
+
 def test_mixing_has_no_python(spark):
     plan = mixing.op1_mixing(spark, FOLDER)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
