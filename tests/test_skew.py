@@ -1,14 +1,17 @@
 """Hot keys by sketch, and the join that spreads them."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from tagweave.operators import lookup as lookup_module
 from tagweave.operators import samples, skew, tags
-from tagweave.operators.lookup import heavy_by_count, lookup
+from tagweave.operators.lookup import heavy_by_count, lookup, lookup_items
 from tagweave.options import Options
-from tagweave.plans import prepare
-from tagweave.sources.tables import materialize
+from tagweave.plans import prepare, queries
+from tagweave.sources import tables
+from tagweave.sources.tables import discard, materialize
 
 
 @pytest.fixture()
@@ -150,3 +153,47 @@ def test_answered_rows_stay_out_of_the_shuffle(spark):
     assert plain(found.select("k", "id", "v", "n").collect()) == plain(wanted.select("k", "id", "v", "n").collect())
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and "NOT coalesce(_hit" in plan
+
+
+ARRAYS = [(0, "a", [5, 1, 99, 5, None, 30]), (1, "a", []), (2, None, None), (3, "b", [30, 31, 98, 2]), (4, "b", [97])]
+
+
+@pytest.mark.parametrize("heavy", [0, 3, 1000])
+def test_items_are_looked_up_inside_their_arrays(spark, monkeypatch, heavy):
+    """Frequent, rare, absent, repeated and missing items, in order; nothing is written and the arrays stay whole."""
+    monkeypatch.setattr(lookup_module, "materialize", None)
+    rows = materialize(spark.createDataFrame(ARRAYS, "row long, k string, items array<bigint>"), "arrays")
+    known = {i: f"v{i}" if i != 2 else "y" * 300 for i in range(40)}
+    dimension = materialize(spark.createDataFrame([(i, v, i) for i, v in known.items()], "item long, value string, rank int"), "dimension")
+    found = lookup_items(rows, ["k"], "row", F.col("items"), dimension, "item", "value", F.col("rank") < heavy)
+    assert found.columns == ["k", "row", "_values"]
+    got = {r["row"]: (r["k"], r["_values"]) for r in found.collect()}
+    assert got == {n: (k, [known.get(i) for i in items or []]) for n, k, items in ARRAYS}
+
+
+def test_exported_lines_are_read_back_without_a_row_for_each_token(spark, monkeypatch):
+    """Before, tokens and names were written as rows, and the samples stayed to the end."""
+    written, write = [], tables.materialize
+
+    def keep(df, label):
+        written.append((label, table := write(df, label)))
+        return table
+
+    for module in (lookup_module, queries):
+        monkeypatch.setattr(module, "materialize", keep)
+    found = queries.transaction_contents(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(lookup_module, "HEAVY_KEYS", 100)
+    assert queries.transaction_contents(spark, "/root/testdata/sf0.001").exceptAll(found).isEmpty()
+    rows = {label: table for label, table in written if "item" in table.columns and label != "spelling"}
+    assert not rows
+    folder = dict(written)["samples"].inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert not os.path.exists(folder)
+
+
+def test_a_discarded_table_is_gone(spark):
+    written = materialize(spark.range(10), "short-lived")
+    kept = materialize(spark.range(10), "kept")
+    folder = written.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(folder)
+    discard(written)
+    assert not os.path.exists(folder) and kept.count() == 10
