@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions.hashing import hash_tokens
-from tagweave.operators.lookup import heavy_by_rank, lookup
+from tagweave.operators.lookup import heavy_by_rank, lookup_items
 from tagweave.operators.ordering import ordered_index
-from tagweave.operators.rows import explode_rows
 from tagweave.operators.text import item_counts, merge_fields
 from tagweave.options import Options
 from tagweave.sources.tables import materialize
@@ -47,19 +46,12 @@ def decode_tokens(
     """
     # A number of its own keeps the copies of a post apart, so that one group is
     # never more than the tokens of one row; it is written, so that it holds.
-    key = ["uniqueID", "_copy"]
     own = materialize(rows.select("uniqueID", array).withColumn("_copy", F.monotonically_increasing_id()), "decode-rows")
-    places = explode_rows(own, key, array, "hash", "pos", outer=missing is not None)
-    found = lookup(places, dictionary, ["hash"], heavy_by_rank("index"), "uniqueID")
+    found = lookup_items(own, ["uniqueID"], "_copy", F.col(array), dictionary, "hash", "token", heavy_by_rank("index"))
     if missing is None:
-        found = found.where(F.col("token").isNotNull())
-    else:
-        found = found.withColumn(
-            "token", F.when(F.col("pos").isNotNull(), F.coalesce("token", F.lit(missing)))
-        )
-    in_order = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))))
-    tokens = found.groupBy(*key).agg(F.transform(in_order, lambda p: p["token"]).alias(name))
-    return tokens.drop("_copy")
+        known = F.filter("_values", lambda t: t.isNotNull())
+        return found.select("uniqueID", known.alias(name)).where(F.size(name) > 0)
+    return found.select("uniqueID", F.transform("_values", lambda t: F.coalesce(t, F.lit(missing))).alias(name))
 
 
 def join_tokens(decoded: DataFrame, name: str) -> DataFrame:

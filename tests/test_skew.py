@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagweave.operators import lookup as lookup_module
-from tagweave.operators import samples, skew, tags
+from tagweave.operators import dictionary, samples, skew, tags
 from tagweave.operators.lookup import heavy_by_count, lookup, lookup_items
 from tagweave.options import Options
 from tagweave.plans import prepare, queries
@@ -171,6 +171,18 @@ def test_items_are_looked_up_inside_their_arrays(spark, monkeypatch, heavy):
     assert got == {n: (k, [known.get(i) for i in items or []]) for n, k, items in ARRAYS}
 
 
+@pytest.mark.parametrize("missing", [None, "?"])
+def test_decoding_writes_no_tokens(spark, monkeypatch, missing):
+    """Before, every token was written as a row of its own."""
+    known = materialize(spark.createDataFrame([(10, "a", 0), (11, "b", 1), (12, "c", 2)], "hash long, token string, index int"), "dictionary")
+    rows = spark.createDataFrame([(1, [12, 10, 10, 7]), (1, [11]), (None, []), (2, [7])], "uniqueID long, title array<bigint>")
+    monkeypatch.setattr(lookup_module, "HEAVY_KEYS", 1)
+    monkeypatch.setattr(lookup_module, "materialize", None)
+    found = dictionary.decode_tokens(rows, known, "title", "t", missing).collect()
+    want = [(1, ["b"]), (1, ["c", "a", "a"])] if missing is None else [(1, ["b"]), (1, ["c", "a", "a", "?"]), (2, ["?"]), (None, [])]
+    assert sorted(((r["uniqueID"], r["t"]) for r in found), key=str) == want
+
+
 def test_exported_lines_are_read_back_without_a_row_for_each_token(spark, monkeypatch):
     """Before, tokens and names were written as rows, and the samples stayed to the end."""
     written, write = [], tables.materialize
