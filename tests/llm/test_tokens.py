@@ -239,6 +239,14 @@ def test_the_pipeline_equals_a_plain_version(spark):
     assert got == want
 
 
+def test_the_mixing_stage_takes_more_words_than_an_int_holds(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "word_count", lambda text: F.lit(300_000_000).cast("long"))
+    docs = table(spark, [(1, "x", "a"), (2, "y", "b"), (3, "z", "b")])
+    found = corpus_pipeline.source_mix(spark, docs, FOLDER).collect()
+    # 643 of 900 million words for a, which has 300, and 257 for b, whose document 2 has the lower hash.
+    assert Counter(r.doc_id for r in found) == {1: 2, 2: 1}
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40)
     for name, stage in corpus_pipeline.STAGES[:-1]:
