@@ -209,3 +209,11 @@ def test_a_discarded_table_is_gone(spark):
     assert os.path.isdir(folder)
     discard(written)
     assert not os.path.exists(folder) and kept.count() == 10
+
+
+def test_the_most_frequent_keys_are_no_more_than_may_be_broadcast(spark, monkeypatch):
+    dimension = materialize(spark.createDataFrame([(f"k{i}", n) for i, n in enumerate([9, 7, 7, 4, 4, 4, 1])], "k string, n long"), "dimension")
+    for most, expected in ((0, 0), (1, 1), (2, 1), (3, 3), (5, 3), (6, 6), (7, 7), (50, 7)):
+        monkeypatch.setattr(lookup_module, "HEAVY_KEYS", most)
+        assert dimension.where(lookup_module.heavy_by_most(dimension, "n")).count() == expected
+    assert materialize(dimension.where("false"), "none").where(lookup_module.heavy_by_most(dimension.where("false"), "n")).count() == 0
